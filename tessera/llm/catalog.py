@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tessera.llm import exact_dedup, mixing
+from tessera.llm import exact_dedup, mixing, quality
 
 
 def queries():
     return {
         "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+        "op4_quality_rules": quality.op4_quality_rules,
         "op6_mix_sources": mixing.op6_mix_sources,
     }
 
