@@ -4,13 +4,14 @@ Each text, white space normalised, is cut where its content says so: at the firs
 end after `MIN_CHUNK` characters, or at `MAX_CHUNK` characters where there is none. A cut
 depends on nothing but the text since the cut before, so equal texts have equal chunks.
 
-1. One scan turns documents into recipes: the ordered 64-bit hashes of their chunks.
-2. A second scan verifies the hashes: the distinct (hash, chunk) pairs, deduplicated within
-   each task before they move, show which hashes stand for two different chunks. Those few
-   get a number beside the hash, so that an identifier always means one chunk. This is the
-   only time that text is shuffled, and a repeated chunk moves once from each task at most.
-3. Documents are equal when their ordered identifier lists are. From here on, rows are an
-   identifier list each, however long the text.
+1. A chunk has a 64-bit hash, and for its verification another 64-bit hash of its own seed
+   and its length. Hashes that stand for more than one such fingerprint get a number beside
+   them, so that an identifier always means one chunk. Fingerprints are aggregated within
+   tasks first; no text is shuffled.
+2. Another scan turns documents into recipes, their ordered lists of verified identifiers,
+   beside the SHA-256 of the whole text.
+3. Documents are equal when their identifier lists and SHA-256 are. From here on a row is an
+   identifier list, however long the text.
 
 Hot groups: the count of a group is aggregated within tasks first, and the join that gives
 members their group reads both sides from written tables, so Spark can split a hot key.
@@ -25,7 +26,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tessera.llm.common import SPACE, documents, stage, text_of
 
@@ -43,34 +43,42 @@ def chunks_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(CHUNK), F.lit(0))
 
 
-def chunk_hash(chunk: Column, bits: int) -> Column:
-    return F.shiftrightunsigned(F.xxhash64(chunk), 64 - bits)
+def identified(chunk: Column, bits: int) -> Column:
+    """hash and fingerprint (check, n) of a chunk."""
+    return F.struct(
+        F.shiftrightunsigned(F.xxhash64(chunk), 64 - bits).alias("hash"),
+        F.xxhash64(F.lit(1), chunk).alias("check"),
+        F.length(chunk).alias("n"),
+    )
 
 
 def collisions(docs: DataFrame, bits: int = 64) -> DataFrame:
-    """(hash, chunk, variant) for hashes that stand for more than one chunk."""
-    chunks = docs.select(F.explode(chunks_of(normalised(text_of(docs)))).alias("chunk"))
-    distinct = chunks.select(chunk_hash(F.col("chunk"), bits).alias("hash"), "chunk").distinct()
-    shared = distinct.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.collect_list("chunk").alias("chunks")).where("n > 1")
-    return shared.select("hash", F.posexplode(F.array_sort("chunks")).alias("variant", "chunk"))
+    """hash, check, n, variant: the chunks whose hash stands for more than one."""
+    chunks = docs.select(F.explode(chunks_of(normalised(text_of(docs)))).alias("chunk")).select(identified(F.col("chunk"), bits).alias("c")).select("c.*")
+    spans = chunks.groupBy("hash").agg(F.min("check").alias("a"), F.max("check").alias("b"), F.min("n").alias("c"), F.max("n").alias("d"))
+    shared = stage(spans.where("a <> b or c <> d").select("hash"), "chunk-collisions")
+    if shared.isEmpty():
+        return shared.selectExpr("hash", "0L as check", "0 as n", "0 as variant")
+    several = chunks.join(shared, "hash", "left_semi").distinct().groupBy("hash").agg(F.array_sort(F.collect_list(F.struct("check", "n"))).alias("kinds"))
+    return stage(several.select("hash", F.posexplode("kinds").alias("variant", "k")).select("hash", "k.check", "k.n", "variant"), "chunk-variants")
 
 
 def recipes(docs: DataFrame, bits: int = 64) -> DataFrame:
     """row, doc_id, text_sha256, recipe (verified identifiers in order), one row per document."""
+    doubtful = collisions(docs, bits)
     text = normalised(text_of(docs))
-    cut = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id"), text.alias("text"))
-    plain = F.transform(chunks_of(F.col("text")), lambda c: F.struct(chunk_hash(c, bits).alias("hash"), F.lit(0).alias("variant")))
-    doubtful = stage(collisions(docs, bits), "chunk-collisions")
+    cut = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text.alias("text"))
+    chunk = F.transform(chunks_of(F.col("text")), lambda c: identified(c, bits))
+    rows = cut.select("row", "doc_id", F.sha2("text", 256).alias("text_sha256"), chunk.alias("chunks"))
     if doubtful.isEmpty():
-        return cut.select("row", "doc_id", F.sha2("text", 256).alias("text_sha256"), plain.alias("recipe"))
-    pieces = cut.select("row", F.posexplode(chunks_of(F.col("text"))).alias("at", "chunk"))
-    pieces = pieces.withColumn("hash", chunk_hash(F.col("chunk"), bits)).join(doubtful, ["hash", "chunk"], "left")
-    numbered = F.struct("at", "hash", F.coalesce("variant", F.lit(0)).alias("variant"))
-    lists = pieces.groupBy("row").agg(F.array_sort(F.collect_list(numbered)).alias("recipe"))
-    lists = lists.select("row", F.transform("recipe", lambda p: F.struct(p["hash"].alias("hash"), p["variant"].alias("variant"))).alias("recipe"))
+        hashes = F.transform("chunks", lambda c: F.struct(c["hash"].alias("hash"), F.lit(0).alias("variant")))
+        return rows.select("row", "doc_id", "text_sha256", hashes.alias("recipe"))
+    rows = stage(rows, "chunk-lists")
+    pieces = rows.select("row", F.posexplode("chunks").alias("at", "c")).select("row", "at", "c.*").join(doubtful, ["hash", "check", "n"], "left")
+    lists = pieces.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("at", "hash", F.coalesce("variant", F.lit(0)).alias("variant")))).alias("p"))
+    recipe = F.transform("p", lambda p: F.struct(p["hash"].alias("hash"), p["variant"].alias("variant")))
     none = F.array().cast("array<struct<hash:bigint,variant:int>>")
-    whole = cut.select("row", "doc_id", F.sha2("text", 256).alias("text_sha256")).join(lists, "row", "left")
-    return whole.select("row", "doc_id", "text_sha256", F.coalesce("recipe", none).alias("recipe"))
+    return rows.select("row", "doc_id", "text_sha256").join(lists.select("row", recipe.alias("recipe")), "row", "left").withColumn("recipe", F.coalesce("recipe", none))
 
 
 def exact_dedup(docs: DataFrame, bits: int = 64) -> DataFrame:
@@ -80,9 +88,9 @@ def exact_dedup(docs: DataFrame, bits: int = 64) -> DataFrame:
     """
     found = stage(recipes(docs, bits), "recipes")
     rank = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("keep_id"), F.col("row").alias("keep_row"))
-    groups = found.groupBy("recipe").agg(F.count(F.lit(1)).alias("group_size"), F.min(rank).alias("first"))
-    repeated = stage(groups.where("group_size > 1").select("recipe", "group_size", "first.keep_id", "first.keep_row"), "groups")
-    joined = found.join(repeated, "recipe", "left")
+    groups = found.groupBy("recipe", "text_sha256").agg(F.count(F.lit(1)).alias("group_size"), F.min(rank).alias("first"))
+    repeated = stage(groups.where("group_size > 1").select("recipe", "text_sha256", "group_size", "first.keep_id", "first.keep_row"), "groups")
+    joined = found.join(repeated, ["text_sha256", "recipe"], "left")
     alone = F.col("group_size").isNull()
     return joined.select(
         "doc_id",
