@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from tessera.llm import exact_dedup, mixing, quality
+from tessera.llm import bpe, exact_dedup, mixing, quality, token_counts
 
 
 def queries():
     return {
         "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+        "op2_byte_bpe": bpe.op2_byte_bpe,
         "op4_quality_rules": quality.op4_quality_rules,
         "op6_mix_sources": mixing.op6_mix_sources,
+        "op7_token_counts": token_counts.op7_token_counts,
     }
 
 
