@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from tessera.llm import bpe, exact_dedup, mixing, quality, token_counts
+from tessera.llm import bpe, exact_dedup, mixing, ngram_join, quality, substring_dedup, token_counts
 
 
 def queries():
     return {
         "op1_exact_dedup": exact_dedup.op1_exact_dedup,
         "op2_byte_bpe": bpe.op2_byte_bpe,
+        "op3_ngram_jaccard_join": ngram_join.op3_ngram_jaccard_join,
         "op4_quality_rules": quality.op4_quality_rules,
+        "op5_substring_dedup": substring_dedup.op5_substring_dedup,
         "op6_mix_sources": mixing.op6_mix_sources,
         "op7_token_counts": token_counts.op7_token_counts,
     }
