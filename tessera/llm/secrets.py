@@ -12,8 +12,8 @@ and a run is reported, as kind `random`, when the ratio for each character is at
 `THRESHOLD` nats and the run doesn't touch a base span. The models are trained from labelled
 samples: random strings are digests made here and the values of base spans; ordinary
 identifiers are the words of `ORDINARY` characters or more outside base spans. Both come from
-at most `SAMPLE` documents, those with the smallest hash of their doc_id; what the driver
-reads is the table of transitions, whose size is the alphabet's square. Every run of every
+at most `SAMPLE` documents, those with the smallest hash of their doc_id, and a random string
+counts if it has at most `LONGEST` characters; what the driver reads is the table of transitions, whose size is the alphabet's square. Every run of every
 text is then scored with it.
 
 Defined results: a null text counts as empty, with no spans. Positions are code points, the
@@ -38,7 +38,7 @@ ACCESS, HEX = "AKIA[A-Z0-9]{16,}", "[0-9a-f]{24,}"
 ASSIGN_LEAST = 6
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-RUN, ORDINARY, THRESHOLD, SAMPLE, MADE = 16, 6, 0.5, 2_000, 2_000
+RUN, ORDINARY, THRESHOLD, SAMPLE, MADE, LONGEST = 16, 6, 0.8, 2_000, 2_000, 128
 MICRO = 1_000_000
 
 
@@ -76,16 +76,16 @@ def outside(spans: Column, base: Column) -> Column:
     return F.filter(spans, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"])))
 
 
-def symbol(s: Column, i: Column) -> Column:
-    """Number of the i-th character in the alphabet, from 1; 0 for others."""
-    return F.call_function("locate", F.substr(s, i, F.lit(1)), F.lit(ALPHABET))
+def pairs(value: Column) -> Column:
+    """The numbers of neighbouring characters in the alphabet (from 1; 0 for others) as one number each."""
+    numbers = F.transform(F.split(value, ""), lambda c: F.call_function("locate", c, F.lit(ALPHABET)))
+    return F.zip_with(numbers, F.slice(numbers, 2, F.length(value)), lambda a, b: a * (len(ALPHABET) + 1) + b)
 
 
 def transitions(strings: DataFrame) -> DataFrame:
-    """pair (numbers of neighbours as one number), weight: how often."""
-    s = F.col("value")
-    pairs = F.transform(F.sequence(F.lit(1), F.length(s) - 1), lambda i: symbol(s, i) * (len(ALPHABET) + 1) + symbol(s, i + 1))
-    return strings.where(F.length("value") > 1).select("random", F.explode(pairs).alias("pair")).groupBy("random", "pair").count()
+    """random, pair, count; the last character of a string has no pair."""
+    each = strings.where(F.length("value") > 1).select("random", F.explode(pairs(F.col("value"))).alias("pair"))
+    return each.where("pair IS NOT NULL").groupBy("random", "pair").count()
 
 
 def model(docs: DataFrame, sample: int = SAMPLE) -> list[int]:
@@ -95,9 +95,9 @@ def model(docs: DataFrame, sample: int = SAMPLE) -> list[int]:
     rest = F.regexp_replace("text", "|".join((ASSIGN, ACCESS, HEX)), " ")
     ordinary = F.regexp_extract_all(rest, F.lit(f"[A-Za-z0-9_-]{{{ORDINARY},}}"), F.lit(0))
     values = lambda strings, label: rows.select(F.lit(label).alias("random"), F.explode(strings).alias("value"))
-    keys = F.transform("base", lambda b: b["value"])
+    keys = F.filter(F.array_distinct(F.transform("base", lambda b: b["value"])), lambda v: F.length(v) <= LONGEST)
     digest = F.sha2(F.concat(F.lit("sample:"), F.col("id")), 256)
-    made = docs.sparkSession.range(MADE).select(F.lit(True).alias("random"), F.explode(F.array(digest, F.base64(F.unhex(digest)))).alias("value"))
+    made = docs.sparkSession.range(MADE).select(F.lit(True).alias("random"), F.explode(F.array(digest, F.upper(digest), F.base64(F.unhex(digest)), F.base64(F.unhex(F.sha1(digest))))).alias("value"))
     size = len(ALPHABET) + 1
     counts = {True: [0] * size**2, False: [0] * size**2}
     for r in transitions(values(ordinary, False).unionByName(values(keys, True)).unionByName(made)).collect():  # size ** 2 rows of each label at most
@@ -105,15 +105,16 @@ def model(docs: DataFrame, sample: int = SAMPLE) -> list[int]:
     rates = {}
     for label, n in counts.items():
         rows_of = [n[i * size : (i + 1) * size] for i in range(size)]
-        rates[label] = [log((x + 0.5) / (sum(r) + 0.5 * size)) for r in rows_of for x in r]
+        alone = [(sum(column) + 0.5) / (sum(n) + 0.5 * size) for column in zip(*rows_of, strict=True)]
+        # Rare transitions are drawn towards how frequent the next character is.
+        rates[label] = [log((x + size * p) / (sum(r) + size)) for r in rows_of for x, p in zip(r, alone, strict=True)]
     return [round((a - b) * MICRO) for a, b in zip(rates[True], rates[False], strict=True)]
 
 
 def score(value: Column, weights: list[int]) -> Column:
     """Log-likelihood ratio of a string, in millionths of a nat for each character pair."""
-    table, size = F.lit(weights), len(ALPHABET) + 1
-    at = lambda i: F.get(table, (symbol(value, i) * size + symbol(value, i + 1)).cast("int")).cast("bigint")
-    total = F.aggregate(F.sequence(F.lit(1), F.length(value) - 1), F.lit(0).cast("bigint"), lambda acc, i: acc + at(i))
+    table = F.lit(weights)
+    total = F.aggregate(pairs(value), F.lit(0).cast("bigint"), lambda acc, p: acc + F.coalesce(F.get(table, p).cast("bigint"), F.lit(0)))
     return total / (F.length(value) - 1)
 
 
