@@ -9,18 +9,22 @@ counted in full. The steps:
    of n shingles can have a link only if T = ceil(0.75 n) of them are in lists of two classes
    or more; the rest of the classes is done. What stays is a set per class of shared shingles.
 3. Groups of near copies are drawn together first: the classes that share one of their
-   smallest hashes are compared with the smallest class among them only, so a group costs one
-   comparison for each member. Verified links give first components.
+   smallest hashes are compared with one of them only, that whose lists are longest on
+   average. Such a class has few edits of its own, so it is near to most of a group, and a
+   group costs one comparison or a few for each member. Verified links give first components.
 4. T-occurrence search for links between components. For a class q, only lists that reach
    another component count; with fewer than T of them it is done. Of the others' lists, the L
    longest are put aside, and the short ones are merged with a heap. A class that occurs in
    T - L of them or more is a candidate, and the long lists are probed for it: whether a list
    has the candidate is whether the candidate's set has the hash, so no long list is moved.
    L follows DivideSkip: T / (MU log2 M + 1) for the longest list's length M, below T.
-5. Candidates that reach the overlap are links; with those of step 3 they give the components.
+5. A class needs one link to a component, not all of them, so of its candidates in each other
+   component the best by count are verified first. While classes have candidates in other
+   components that haven't been tried, the search goes on with `MORE` times as many of them;
+   it ends when no candidate is left.
 
-No step forms the pairs of a list: within a component nothing is paired, and between components
-a class is paired with what its short lists hold. Class pairs come out as `links`.
+No step forms the pairs of a list: within a component nothing is paired. Class pairs that were
+found come out as `links`; they connect what all links would.
 
 Defined results: a null text counts as empty; it has no shingles and is linked with nothing.
 A text of 1 to 4 words is one shingle. Rows that repeat are linked documents. A null doc_id
@@ -42,10 +46,10 @@ from tessera.llm import arrays as A
 from tessera.llm.common import buckets, documents, stage, text_of
 from tessera.llm.components import components
 
-WORDS, PERCENT, FIRST, MU = 5, 75, 2, 0.01
+WORDS, PERCENT, FIRST, MU, MORE = 5, 75, 3, 0.02, 8
 #: kind 0: (hash, class) postings; 1: documents with their classes.
 POSTINGS = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("hashes", pa.binary()), ("ids", pa.binary()), ("runs", pa.binary()), ("sizes", pa.binary()), ("docs", pa.binary())])
-SETS = "class bigint, n int, hashes array<bigint>"
+SETS = "class bigint, n int, weight double, hashes array<bigint>"
 
 
 def ddl(schema: pa.Schema) -> str:
@@ -127,21 +131,22 @@ def shared(found: DataFrame, n_buckets: int) -> DataFrame:
             keep = same[1:] | same[:-1]
             # The bucket is part of what tells hashes apart; it is folded in.
             salt = A.mix(np.array([table["bucket"][0].as_py() + 1], np.uint64))
-            rows += by_class(A.mix(hashes[keep] + salt), ids[keep], sizes[keep], n_buckets)
+            length = np.repeat(n_of := A.runs(hashes)[1], n_of)
+            rows += by_class(A.mix(hashes[keep] + salt), ids[keep], sizes[keep], length[keep], n_buckets)
         return table_of(rows, POSTINGS)
 
     return found.groupBy("bucket").applyInArrow(run, ddl(POSTINGS))
 
 
-def by_class(hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray, n_buckets: int) -> Iterator[tuple]:
+def by_class(hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray, length: np.ndarray, n_buckets: int) -> Iterator[tuple]:
     order = np.argsort(ids, kind="stable")
-    hashes, ids, sizes = hashes[order], ids[order], sizes[order]
+    hashes, ids, sizes, length = hashes[order], ids[order], sizes[order], length[order]
     where = A.key_bucket(ids, n_buckets)
     order = np.argsort(where, kind="stable")
     for b, x, y in A.slices(where[order]):
         part = order[x:y]
         owner, count = A.runs(ids[part])
-        yield b, 0, hashes[part].astype("<u8").tobytes(), A.pack_keys(owner), A.pack(count), A.pack(sizes[part][np.cumsum(count) - 1]), None
+        yield b, 0, hashes[part].astype("<u8").tobytes(), A.pack_keys(owner), A.pack(count), A.pack(sizes[part][np.cumsum(count) - 1]), A.pack(np.add.reduceat(16 * np.log2(length[part]), np.cumsum(count) - count).astype(np.int64))
 
 
 def least_overlap(n, percent: int):
@@ -150,21 +155,27 @@ def least_overlap(n, percent: int):
 
 
 def sets(lists: DataFrame, percent: int) -> DataFrame:
-    """class, n, hashes (shared ones, sorted) of the classes that can still have a link."""
+    """class, n, weight, hashes (shared ones, sorted) of the classes that can still have a link.
+
+    The weight is the mean logarithm of the lengths of the class's lists.
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        rows = [(np.frombuffer(h, np.uint64), A.unpack_keys(i), A.unpack(c), A.unpack(s)) for h, i, c, s in zip(*(table[k].to_pylist() for k in ("hashes", "ids", "runs", "sizes")), strict=True)]
+        rows = [(np.frombuffer(h, np.uint64), *map(A.unpack_keys, [i]), *map(A.unpack, (c, s, w))) for h, i, c, s, w in zip(*(table[k].to_pylist() for k in ("hashes", "ids", "runs", "sizes", "docs")), strict=True)]
         hashes = np.concatenate([r[0] for r in rows]).view(np.int64)
         ids = np.concatenate([np.repeat(r[1], r[2]) for r in rows])
         sizes = np.concatenate([np.repeat(r[3], r[2]).astype(np.int64) for r in rows])
+        each = np.concatenate([r[1] for r in rows])
+        logs = np.concatenate([r[4].astype(np.float64) for r in rows])
         order = np.lexsort((hashes, ids))
         hashes, ids, sizes = hashes[order], ids[order], sizes[order]
         owner, count = A.runs(ids)
+        weight = np.bincount(np.searchsorted(owner, each), logs, len(owner)) / 16 / count if len(ids) else logs
         n = sizes[np.cumsum(count) - 1] if len(ids) else sizes
         keep = count >= least_overlap(n, percent)
         values = hashes[np.repeat(keep, count)]
         edges = np.concatenate([[0], np.cumsum(count[keep])]).astype(np.int32)
-        return pa.table({"class": owner[keep], "n": n[keep].astype(np.int32), "hashes": pa.ListArray.from_arrays(pa.array(edges), pa.array(values))})
+        return pa.table({"class": owner[keep], "n": n[keep].astype(np.int32), "weight": weight[keep], "hashes": pa.ListArray.from_arrays(pa.array(edges), pa.array(values))})
 
     return lists.where("kind = 0").groupBy("bucket").applyInArrow(run, SETS)
 
@@ -190,9 +201,10 @@ def verified(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
 
 
 def first_links(found: DataFrame, percent: int, first: int) -> DataFrame:
-    """Every class against the smallest class that has one of its `first` smallest hashes."""
-    heads = found.select("class", F.explode(F.slice("hashes", 1, first)).alias("hash"))
-    pivots = stage(heads.groupBy("hash").agg(F.min("class").alias("a"), F.count(F.lit(1)).alias("k")).where("k > 1").select("hash", "a"), "pivots")
+    """Every class against the heaviest class that has one of its `first` smallest hashes."""
+    heads = found.select("class", "weight", F.explode(F.slice("hashes", 1, first)).alias("hash"))
+    best = F.max(F.struct("weight", "class"))["class"]
+    pivots = stage(heads.groupBy("hash").agg(best.alias("a"), F.count(F.lit(1)).alias("k")).where("k > 1").select("hash", "a"), "pivots")
     pairs = heads.join(pivots, "hash").where(F.col("class") != F.col("a")).select("a", F.col("class").alias("b")).distinct()
     return verified(stage(pairs, "first-pairs"), found, percent)
 
@@ -279,48 +291,78 @@ def set_aside(least: int, longest: int) -> int:
     return max(0, min(least - 1, int(least / (MU * log2(max(2, longest)) + 1))))
 
 
-REQUESTS = pa.schema([("bucket", pa.int32()), ("class", pa.int64()), ("need", pa.int32()), ("others", pa.binary())])
+REQUESTS = pa.schema([("bucket", pa.int32()), ("class", pa.int64()), ("need", pa.int32()), ("others", pa.binary()), ("roots", pa.binary())])
+
 
+def candidates(found: DataFrame, tried: DataFrame | None, n_buckets: int, percent: int, best: int) -> DataFrame:
+    """Pairs (a, b), b in another component and in enough short lists of a, that haven't been tried.
 
-def candidates(found: DataFrame, n_buckets: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of classes in different components where b is in enough short lists of a."""
+    Of the candidates that a class has in a component, the `best` by count come out.
+    """
 
     def short_lists(table: pa.Table) -> pa.Table:
         hashes, ids, sizes, roots, need = _entries(table)
         order = np.lexsort((ids, hashes))
         hashes, ids, sizes, roots, need = (x[order] for x in (hashes, ids, sizes, roots, need))
-        out = []
+        lists: dict[tuple[int, int], list] = {}
         for _, x, y in A.slices(hashes):
             i, n, r = ids[x:y], sizes[x:y], roots[x:y]
             for q in np.flatnonzero(need[x:y]):
                 # A larger partner finds this class from its own side; of equal ones the larger id does.
                 fits = (r != r[q]) & (100 * n >= percent * n[q]) & ((n < n[q]) | ((n == n[q]) & (i < i[q])))
                 if fits.any():
-                    out.append((int(A.key_bucket(i[q : q + 1], n_buckets)[0]), int(i[q]), int(need[x + q]), i[fits].tobytes()))
+                    lists.setdefault((int(i[q]), int(need[x + q])), []).append((i[fits], r[fits]))
+        out = []
+        for (q, k), parts in lists.items():  # lists stay apart: each is sorted, a length before each
+            others = np.concatenate([np.append(len(o), o) for o, _ in parts])
+            out.append((int(A.key_bucket(np.array([q]), n_buckets)[0]), q, k, others.tobytes(), np.concatenate([r for _, r in parts]).tobytes()))
         return table_of(out, REQUESTS)
 
     def search(table: pa.Table) -> pa.Table:
-        lists: dict[tuple[int, int], list] = {}
+        lists: dict[int, list] = {}
+        root, need, done = {}, {}, {}
         for r in table.to_pylist():
-            lists.setdefault((r["class"], r["need"]), []).append(np.frombuffer(r["others"], np.int64).tolist())
+            others = np.frombuffer(r["others"], np.int64)
+            if r["need"] == 0:
+                done.setdefault(r["class"], set()).update(others.tolist())
+                continue
+            need[r["class"]], at, flat = r["need"], 0, []
+            while at < len(others):
+                part = others[at + 1 : at + 1 + others[at]].tolist()
+                lists.setdefault(r["class"], []).append(part)
+                flat += part
+                at += 1 + int(others[at])
+            root.update(zip(flat, np.frombuffer(r["roots"], np.int64).tolist(), strict=True))
         out = []
-        for (q, need), found in lists.items():
-            times, last = 0, None
+        for q, found in lists.items():
+            times: dict[int, int] = {}
             for other in heap_merge(*found):
-                times = times + 1 if other == last else 1
-                last = other
-                if times == need:
+                times[other] = times.get(other, 0) + 1
+            skip, per = done.get(q, ()), {}
+            for n, other in sorted((-n, o) for o, n in times.items() if n >= need[q] and o not in skip):
+                if (seen := per.get(root[other], 0)) < best:
+                    per[root[other]] = seen + 1
                     out.append((q, other))
         return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
+    def as_requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            order = np.argsort(a, kind="stable")
+            a, b = a[order], b[order]
+            rows = [(int(A.key_bucket(a[x : x + 1], n_buckets)[0]), q, 0, b[x:y].tobytes(), None) for q, x, y in A.slices(a)]
+            yield from table_of(rows, REQUESTS).to_batches()
+
     requests = _by_hash(found, n_buckets).groupBy("bucket").applyInArrow(short_lists, ddl(REQUESTS))
+    if tried is not None:
+        requests = requests.unionByName(tried.select("a", "b").mapInArrow(as_requests, ddl(REQUESTS)))
     return requests.groupBy("bucket").applyInArrow(search, "a bigint, b bigint")
 
 
-def similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, first: int = FIRST) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, class, n) for every document, and links (a, b, overlap) between classes.
+def similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, first: int = FIRST) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id, class, n) for every document, links (a, b, overlap) between classes, (node, root) of linked classes.
 
-    The links connect exactly the classes that links of all pairs at or above the threshold
+    The links connect exactly the classes that the links of all pairs at or above the threshold
     connect; inside a group that is connected already, not every pair is listed.
     """
     n = buckets(docs.sparkSession)
@@ -328,18 +370,27 @@ def similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, first:
     found = stage(sets(lists, percent), "shingle-sets")
     links = stage(first_links(found, percent, first), "first-links")
     roots = components(links)
-    rooted = found.join(roots.withColumnRenamed("node", "class"), "class", "left").select("class", "n", F.coalesce("root", "class").alias("root"), "hashes")
-    open_classes = stage(crossing(rooted, n, percent), "open-classes")
-    if not open_classes.isEmpty():
-        pairs = stage(candidates(open_classes, n, percent), "candidates")
-        links = stage(links.unionByName(verified(pairs, found, percent)), "links")
-    return classes_of(lists), links
+    tried, best = None, 1
+    while True:
+        rooted = found.join(roots.withColumnRenamed("node", "class"), "class", "left").select("class", "n", F.coalesce("root", "class").alias("root"), "hashes")
+        open_classes = stage(crossing(rooted, n, percent), "open-classes")
+        if open_classes.isEmpty():
+            break
+        pairs = stage(candidates(open_classes, tried, n, percent, best), "candidates")
+        if pairs.isEmpty():
+            break
+        new = stage(verified(pairs, found, percent), "new-links")
+        tried, best = pairs if tried is None else tried.unionByName(pairs), best * MORE
+        if not new.isEmpty():
+            links = links.unionByName(new)
+            roots = components(links)
+    return classes_of(lists), links, roots
 
 
 def component_ids(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id: a row for each row of `docs`."""
-    members, links = similar(docs, words, percent)
-    roots = components(links).withColumnRenamed("node", "class")
+    members, _, roots = similar(docs, words, percent)
+    roots = roots.withColumnRenamed("node", "class")
     least = members.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
     rooted = stage(least.join(roots, "class", "left").select("class", F.coalesce("root", "class").alias("root"), "least"), "rooted")
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -39,28 +39,38 @@ def mark_rows(keys: np.ndarray, pos: np.ndarray, buckets: int) -> Iterator[tuple
         yield b, A.pack_keys(ids), A.pack(n), A.pack(pos[part])
 
 
+def _by_key(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """Each document of a bucket with its marked positions, ascending."""
+    keys = np.concatenate([np.repeat(A.unpack_keys(i), A.unpack(n)) for i, n in zip(table["ids"].to_pylist(), table["runs"].to_pylist(), strict=True)])
+    pos = np.concatenate([A.unpack(p).astype(np.int64) for p in table["pos"].to_pylist()])
+    order = np.lexsort((pos, keys))
+    keys, pos = keys[order], pos[order]
+    for k, x, y in A.slices(keys):
+        yield k, pos[x:y]
+
+
+def positions(marks: DataFrame) -> DataFrame:
+    """key, pos (packed): one row for each document with marked positions."""
+
+    def gather(table: pa.Table) -> pa.Table:
+        found = [(k, A.pack(np.unique(pos))) for k, pos in _by_key(table)]
+        return pa.table({"key": pa.array([k for k, _ in found], pa.int64()), "pos": pa.array([p for _, p in found], pa.binary())})
+
+    return marks.select("bucket", "ids", "runs", "pos").groupBy("bucket").applyInArrow(gather, "key bigint, pos binary")
+
+
 def intervals(marks: DataFrame, size: int) -> DataFrame:
-    """key, starts, stops (packed): one row for each document with marked positions."""
+    """key, starts, stops (packed): the maximal runs of places that marked windows cover, by document."""
 
     def merge(table: pa.Table) -> pa.Table:
-        keys = np.concatenate([np.repeat(A.unpack_keys(i), A.unpack(n)) for i, n in zip(table["ids"].to_pylist(), table["runs"].to_pylist(), strict=True)])
-        pos = np.concatenate([A.unpack(p).astype(np.int64) for p in table["pos"].to_pylist()])
-        order = np.lexsort((pos, keys))
-        keys, pos = keys[order], pos[order]
-        found = [(k, *A.merged(pos[x:y], size)) for k, x, y in A.slices(keys)]
-        return pa.table(
-            {"key": pa.array([k for k, _, _ in found], pa.int64()), "starts": pa.array([A.pack(s) for _, s, _ in found], pa.binary()), "stops": pa.array([A.pack(e) for _, _, e in found], pa.binary())}
-        )
+        found = [(k, *map(A.pack, A.merged(pos, size))) for k, pos in _by_key(table)]
+        return pa.table({n: pa.array([f[i] for f in found], t) for i, (n, t) in enumerate((("key", pa.int64()), ("starts", pa.binary()), ("stops", pa.binary())))})
 
     return marks.select("bucket", "ids", "runs", "pos").groupBy("bucket").applyInArrow(merge, "key bigint, starts binary, stops binary")
 
 
-def shortened(docs: DataFrame, found: DataFrame, body: Callable[[bytes], bytes], cut: Callable, columns: str) -> DataFrame:
-    """doc_id and what `cut(body, starts, stops)` makes of each document, rows without intervals included.
-
-    `body` is applied to the text before it travels. `columns` names and types the results.
-    """
-    names = [c.split()[0] for c in columns.split(", ")]
+def packed_texts(docs: DataFrame, body: Callable[[bytes], bytes]) -> DataFrame:
+    """doc_id, key, size, body: the compressed form in which texts travel."""
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec(CODEC, compression_level=3)
@@ -72,19 +82,32 @@ def shortened(docs: DataFrame, found: DataFrame, body: Callable[[bytes], bytes],
                 sizes = pa.array([len(b) for b in bodies], pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), sizes, pa.array(packed, pa.binary())], ["doc_id", "key", "size", "body"])
 
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    texts = docs.select("doc_id", key_of(docs).alias("key"), text_of(docs).alias("text"))
+    return texts.mapInArrow(compress, f"doc_id {kind}, key bigint, size bigint, body binary")
+
+
+def unpacked(size: int, body: bytes) -> bytes:
+    return pa.Codec(CODEC).decompress(body, decompressed_size=size, asbytes=True) if size else b""
+
+
+def shortened(docs: DataFrame, found: DataFrame, body: Callable[[bytes], bytes], cut: Callable, columns: str) -> DataFrame:
+    """doc_id and what `cut(body, starts, stops)` makes of each document, rows without intervals included.
+
+    `body` is applied to the text before it travels. `columns` names and types the results.
+    """
+    kinds = {"bigint": pa.int64(), "string": pa.string(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64())}
+    fields = [pa.field(name, kinds[kind]) for name, kind in (c.split() for c in columns.split(", "))]
+
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = pa.Codec(CODEC)
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.slice(at, 256)
                 rows = []
                 for n, b, s, e in zip(*(part.column(i).to_pylist() for i in range(1, 5)), strict=True):
-                    raw = codec.decompress(b, decompressed_size=n, asbytes=True) if n else b""
-                    rows.append(cut(raw, A.unpack(s).astype(np.int64) if s else [], A.unpack(e).astype(np.int64) if e else []))
-                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c) for c in zip(*rows, strict=True))], ["doc_id", *names])
+                    rows.append(cut(unpacked(n, b), A.unpack(s).astype(np.int64) if s else [], A.unpack(e).astype(np.int64) if e else []))
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), fields, strict=True))], ["doc_id", *(f.name for f in fields)])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    texts = docs.select("doc_id", key_of(docs).alias("key"), text_of(docs).alias("text"))
-    packed = texts.mapInArrow(compress, f"doc_id {kind}, key bigint, size bigint, body binary")
-    joined = packed.join(found, "key", "left").select("doc_id", "size", "body", "starts", "stops")
+    joined = packed_texts(docs, body).join(found, "key", "left").select("doc_id", "size", "body", "starts", "stops")
     return joined.mapInArrow(apply, f"doc_id {kind}, {columns}")

@@ -18,7 +18,7 @@ any of them loses. A null doc_id is allowed. An empty table gives an empty resul
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,10 +45,12 @@ def windows(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarra
     return A.range_hashes(words, at, at + size), text, pos
 
 
-def postings(docs: DataFrame, size: int, n_buckets: int) -> DataFrame:
+def postings(rows: DataFrame, places: Callable, n_buckets: int) -> DataFrame:
+    """Hashes of `rows` (key, text) into buckets; `places(bytes, offsets)` gives hash, text number and position."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, data, offsets in A.text_chunks(batches):
-            hashes, text, pos = windows(data, offsets, size)
+            hashes, text, pos = places(data, offsets)
             order = np.argsort(hashes)
             ranked = hashes[order]
             same = np.zeros(len(ranked) + 1, bool)
@@ -67,7 +69,7 @@ def postings(docs: DataFrame, size: int, n_buckets: int) -> DataFrame:
             rows += [(b, 2, None, *rest) for b, *rest in mark_rows(keys[text[again]], pos[again], n_buckets)]
             yield batch_of(rows, POSTINGS)
 
-    return keyed(docs).mapInArrow(run, POSTINGS)
+    return rows.mapInArrow(run, POSTINGS)
 
 
 def batch_of(rows: list[tuple], schema: str) -> pa.RecordBatch:
@@ -78,7 +80,7 @@ def batch_of(rows: list[tuple], schema: str) -> pa.RecordBatch:
 
 
 def count(found: DataFrame, n_buckets: int) -> DataFrame:
-    """bucket (of the document), ids, runs, pos of the places where a repeated window starts."""
+    """bucket (of the document), ids, runs, pos of the places whose hash is met twice or more."""
     schema = "bucket int, ids binary, runs binary, pos binary"
 
     def run(table: pa.Table) -> pa.Table:
@@ -107,7 +109,8 @@ def count(found: DataFrame, n_buckets: int) -> DataFrame:
 def repeated_words(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """key, starts, stops: the maximal intervals of words of each document to be removed."""
     n = buckets(docs.sparkSession)
-    return intervals(count(postings(docs, size, n), n), size)
+    found = postings(keyed(docs), lambda data, offsets: windows(data, offsets, size), n)
+    return intervals(count(found, n), size)
 
 
 def without_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
