@@ -66,6 +66,8 @@ def apply_to_tree(plan: MirrorPlan, src: str, dst: str) -> DataFrame:
     Path(dst).mkdir(parents=True, exist_ok=True)
     for row in status.orderBy(g).toLocalIterator():
         Path(dst, row[0]).mkdir(parents=True, exist_ok=True)
+    # Links go first, so that nothing is written or deleted through one.
+    plan.dst.entries.where("kind = 'link'").join(plan.selected, g, "left_semi").foreachPartition(_delete(dst))
     scope = plan.src.entries.join(plan.selected, g, "left_semi")
     scope.repartition(g, F.xxhash64("rel_path") % 64).foreachPartition(_copy(src, dst))
     sorted_for_deletion(doomed, plan.layout).foreachPartition(_delete(dst))
@@ -76,7 +78,7 @@ def mirror_tree(spark, src: str, dst: str, names: Iterable[str] = (), *, prune_o
     """Mirror the groups below `src` into `dst`; the whole request is checked before the first write."""
     names = list(dict.fromkeys(names))
     source = read_tree(spark, src, names or None)
-    target = read_tree(spark, dst, names or None)
+    target = read_tree(spark, dst, names or None, follow=False)
     plan = plan_mirror(source, target, names, prune_orphans=prune_orphans)
     require_sound(source.entries)
     return apply_to_tree(plan, src, dst)

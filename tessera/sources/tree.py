@@ -6,7 +6,7 @@ option leaves the others unlisted. Links are followed, and a link that leads now
 reported as kind 'dangling'.
 
 Options: path (required), groups (JSON list), relation ('entries' or 'groups'),
-content ('true' reads file bytes too).
+content ('true' reads file bytes too), follow ('false' lists a link as kind 'link' and stops there).
 """
 
 from __future__ import annotations
@@ -50,6 +50,7 @@ class TreeReader(DataSourceReader):
         self.wanted = json.loads(options["groups"]) if options.get("groups") else None
         self.relation = options.get("relation", "entries")
         self.content = options.get("content", "false").lower() == "true"
+        self.follow = options.get("follow", "true").lower() == "true"
 
     def partitions(self):
         root = Path(self.root)
@@ -72,6 +73,9 @@ class TreeReader(DataSourceReader):
         with os.scandir(os.path.join(top, rel)) as entries:
             for e in sorted(entries, key=lambda e: e.name):
                 path = f"{rel}/{e.name}" if rel else e.name
+                if not self.follow and e.is_symlink():
+                    yield (group, path, None, "link", None, None, None, None)
+                    continue
                 try:
                     st = e.stat()
                 except OSError:
@@ -85,11 +89,14 @@ class TreeReader(DataSourceReader):
                     yield from self.walk(top, path, group, above | {real})
 
 
-def read_tree(spark: SparkSession, path: str, names: list[str] | None = None, *, content: bool = False) -> Snapshot:
-    """A tree as a snapshot with its groups relation, empty groups included."""
+def read_tree(spark: SparkSession, path: str, names: list[str] | None = None, *, content: bool = False, follow: bool = True) -> Snapshot:
+    """A tree as a snapshot with its groups relation, empty groups included.
+
+    A destination is read with `follow=False`: what lies behind its links isn't part of it.
+    """
     spark.dataSource.register(TreeDataSource)
     reader = lambda relation: spark.read.format("tessera_tree").options(
-        path=str(path), relation=relation, content=str(content).lower(), **({"groups": json.dumps(names)} if names is not None else {})
+        path=str(path), relation=relation, content=str(content).lower(), follow=str(follow).lower(), **({"groups": json.dumps(names)} if names is not None else {})
     ).load()
     return Snapshot(reader("entries"), reader("groups"), TREE)
 
