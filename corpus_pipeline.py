@@ -1,40 +1,90 @@
 """A corpus from raw documents, stage by stage; each stage reads what the one before it wrote.
 
 Between stages the documents are Parquet in the cluster's shared folder, so an executor that
-is lost costs a reread. `doc_id` is the documents' key: decisions join back on it.
+is lost costs a reread. `doc_id` is the documents' key. A stage works out its decisions on
+narrow rows, writes them, and joins them back on the key; where few documents go, the table of
+those that go is small and Spark broadcasts it, else both sides are shuffled.
+
+Defined results: null texts count as empty (and fail the quality rules). Rows without a doc_id
+are judged by their text alone and stay in the near-duplicate stage. Of rows that repeat in
+full, one stays after the exact dedup. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import documents, stage
-from tessera.llm.exact_dedup import exact_dedup
+from tessera.llm.bpe import encode
+from tessera.llm.common import documents, stage, text_of
+from tessera.llm.exact_dedup import exact_dedup, normalised
 from tessera.llm.mixing import mix
+from tessera.llm.ngram_join import component_ids
+from tessera.llm.quality import judge
+
+
+def without(docs: DataFrame, gone: DataFrame, key: Column, name: str) -> DataFrame:
+    """The documents whose `key` isn't in the one column of `gone`."""
+    gone = stage(gone.toDF("_gone"), name)
+    return docs.join(gone, key == F.col("_gone"), "left_anti")
+
+
+def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    verdicts = judge(docs, labels, also={"text_hash": F.xxhash64(text_of(docs))})
+    key = F.xxhash64(docs["doc_id"], F.xxhash64(text_of(docs)))
+    return without(docs, verdicts.where(~F.col("kept")).select(F.xxhash64("doc_id", "text_hash")).distinct(), key, "rejected")
 
 
-def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def one_of_equals(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
-    dropped = exact_dedup(docs).where(~F.col("kept")).select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti")
+    found = stage(exact_dedup(docs).select("doc_id", "text_sha256", "kept"), "equals")
+    named = found.select("kept", F.xxhash64("doc_id", "text_sha256").alias("name"))
+    gone, stays = named.where("NOT kept").select("name").distinct(), named.where("kept").select("name")
+    key = F.xxhash64(docs["doc_id"], F.sha2(normalised(text_of(docs)), 256))
+    once = without(docs, gone.join(stays, "name", "left_anti"), key, "copies")
+    again = stage(gone.join(stays, "name", "left_semi"), "repeated-rows")  # rows that share doc_id and text with the one that stays
+    if again.isEmpty():
+        return once
+    repeated = docs.withColumn("_name", key).join(again, F.col("_name") == F.col("name"), "left_semi").dropDuplicates(["_name"]).drop("_name")
+    return without(once, again, key, "repeated-names").unionByName(repeated)
+
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that are linked, directly or by others, the one with the smallest doc_id stays."""
+    return without(docs, component_ids(docs).where("doc_id <> component_id").select("doc_id").distinct(), docs["doc_id"], "near-copies")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
-    taken = mix(docs).where("copies > 0").select("doc_id", "copies")
-    return docs.join(taken, "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
+    taken = mix(docs).where("copies > 0").groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_copies"))
+    joined = docs.join(stage(taken, "taken"), docs["doc_id"].eqNullSafe(F.col("_id")))
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*docs.columns)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids (little-endian uint32) and decoded_sha256, of the text that the ids give back."""
+    found = encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, decoded=True)
+    return found.select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-STAGES = [("exact dedup", exact_copies), ("mixing sources", mixed)]
+STAGES = [
+    ("quality rules", of_quality),
+    ("exact dedup", one_of_equals),
+    ("n-gram jaccard join", one_of_near_copies),
+    ("mixing sources", mixed),
+    ("byte-level bpe", encoded),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    for name, step in STAGES:
+    for name, step in STAGES[:-1]:
         docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-"))
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)
 
 
-#: Some stages are beyond SQL; the tests hold the pipeline against a brute-force version.
+#: Near copies, likelihoods and token ids are beyond SQL; the tests hold the pipeline against a brute-force version.
 ORACLE_SQL = None

@@ -35,7 +35,7 @@ BLANKS = "\t\n\x0b\f\r "
 MICRO = 1_000_000
 
 
-def with_words(docs: DataFrame, *keep: str) -> DataFrame:
+def with_words(docs: DataFrame, *keep: str | Column) -> DataFrame:
     """Numbered rows with the text and its words, each computed once."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), *keep, text_of(docs).alias("text"))
     return rows.withColumn("words", F.filter(F.split(F.translate("text", BLANKS, " " * len(BLANKS)), " "), lambda w: w != ""))
@@ -96,11 +96,11 @@ def weights(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, at_most:
     return counts.select("bucket", F.round(F.log(p_good / p_raw) * MICRO).cast("bigint").alias("weight"))
 
 
-def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS) -> DataFrame:
-    """The counts, score (nats per n-gram) and kept, one row for each row of `docs`."""
-    table = F.broadcast(weights(docs, labels, buckets))
-    rows = base_counts(with_words(docs, "doc_id")).withColumn("grams", grams(F.col("words"), buckets)).drop("words", "text")
-    names = ["row", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS, also: dict[str, Column] | None = None) -> DataFrame:
+    """The counts, score (nats per n-gram) and kept, one row for each row of `docs`; `also` are further columns by name."""
+    table, also = F.broadcast(weights(docs, labels, buckets)), also or {}
+    rows = base_counts(with_words(docs, "doc_id", *(c.alias(n) for n, c in also.items()))).withColumn("grams", grams(F.col("words"), buckets)).drop("words", "text")
+    names = ["row", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", *also]
     each = rows.select(*names, F.size("grams").cast("bigint").alias("n_grams"), F.explode_outer("grams").alias("bucket"))
     scored = each.join(table, "bucket", "left").groupBy(*names, "n_grams").agg(F.coalesce(F.sum("weight"), F.lit(0)).alias("total"))
     passed = F.col("total") >= F.lit(round(threshold * MICRO)) * F.col("n_grams")
