@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import bpe, exact_dedup, mixing, ngram_join, quality, secrets, substring_dedup, suffix_dedup, token_counts
+from tessera.llm import bpe, exact_dedup, licenses, mixing, ngram_join, quality, secrets, substring_dedup, suffix_dedup, token_counts
 
 
 def queries():
@@ -14,6 +14,7 @@ def queries():
         "op5_substring_dedup": substring_dedup.op5_substring_dedup,
         "op6_mix_sources": mixing.op6_mix_sources,
         "op7_token_counts": token_counts.op7_token_counts,
+        "op8_license_scan": licenses.op8_license_scan,
         "op9_secret_scan": secrets.op9_secret_scan,
         "op10_suffix_array_dedup": suffix_dedup.op10_suffix_array_dedup,
     }
