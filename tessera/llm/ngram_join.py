@@ -15,13 +15,14 @@ counted in full. The steps:
 4. T-occurrence search for links between components. For a class q, only lists that reach
    another component count; with fewer than T of them it is done. Of the others' lists, the L
    longest are put aside, and the short ones are merged with a heap. A class that occurs in
-   T - L of them or more is a candidate, and the long lists are probed for it: whether a list
+   T - L of them or more, with T raised to what the sizes of both ask for, is a candidate if it
+   has T hashes in such lists at all, and the long lists are probed for it: whether a list
    has the candidate is whether the candidate's set has the hash, so no long list is moved.
    L follows DivideSkip: T / (MU log2 M + 1) for the longest list's length M, below T.
-5. A class needs one link to a component, not all of them, so of its candidates in each other
-   component the best by count are verified first. While classes have candidates in other
-   components that haven't been tried, the search goes on with `MORE` times as many of them;
-   it ends when no candidate is left.
+5. A class needs one link to a component, not all of them, so its `MOST` best candidates by
+   count, one from each other component, are verified first. While classes have candidates in
+   other components that haven't been tried, the search goes on with `MORE` times as many of
+   them; it ends when no candidate is left.
 
 No step forms the pairs of a list: within a component nothing is paired. Class pairs that were
 found come out as `links`; they connect what all links would.
@@ -46,9 +47,11 @@ from tessera.llm import arrays as A
 from tessera.llm.common import buckets, documents, stage, text_of
 from tessera.llm.components import components
 
-WORDS, PERCENT, FIRST, MU, MORE = 5, 75, 3, 0.02, 8
+WORDS, PERCENT, FIRST, MU, MOST, MORE = 5, 75, 3, 0.02, 8, 16
 #: kind 0: (hash, class) postings; 1: documents with their classes.
 POSTINGS = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("hashes", pa.binary()), ("ids", pa.binary()), ("runs", pa.binary()), ("sizes", pa.binary()), ("docs", pa.binary())])
+BITS = 31
+LOW = (1 << BITS) - 1
 SETS = "class bigint, n int, weight double, hashes array<bigint>"
 
 
@@ -232,7 +235,7 @@ def _entries(table: pa.Table):
 
 
 def _by_hash(found: DataFrame, n_buckets: int) -> DataFrame:
-    """Rows of (class, n, root, hashes, need) into buckets by hash."""
+    """Rows of (class, n, root, hashes, need) into buckets by hash; a size is n and, in the low bits, the number of hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -240,7 +243,8 @@ def _by_hash(found: DataFrame, n_buckets: int) -> DataFrame:
             count = np.diff(lists.offsets.to_numpy())
             hashes = lists.flatten().to_numpy()
             extra = batch.column(4).flatten().to_numpy() if batch.num_columns > 4 else np.zeros(len(hashes), np.int64)
-            own = [np.repeat(batch.column(i).to_numpy(), count) for i in range(3)]
+            own = [np.repeat(batch.column(i).to_numpy().astype(np.int64), count) for i in range(3)]
+            own[1] = own[1] << BITS | np.repeat(count, count)
             yield from table_of(list(_deal(hashes, own[0], own[1], own[2], extra, A.key_bucket(hashes, n_buckets))), CLASS_LISTS).to_batches()
 
     return found.mapInArrow(run, ddl(CLASS_LISTS))
@@ -270,14 +274,15 @@ def crossing(found: DataFrame, n_buckets: int, percent: int) -> DataFrame:
         hashes, ids, sizes, roots, size = (x[order] for x in (hashes, ids, sizes, roots, size))
         out = []
         for owner, x, y in A.slices(ids):
-            least = least_overlap(int(sizes[x]), percent)
+            n = int(sizes[x]) >> BITS
+            least = least_overlap(n, percent)
             if y - x < least:
                 continue
             longest = set_aside(least, int(size[x:y].max()))
             need = np.full(y - x, least - longest)
             if longest:
                 need[np.argsort(size[x:y], kind="stable")[-longest:]] = 0
-            out.append((owner, int(sizes[x]), int(roots[x]), hashes[x:y], need))
+            out.append((owner, n, int(roots[x]), hashes[x:y], need))
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
         columns = list(zip(*out, strict=True)) or [()] * 5
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["class", "n", "root", "hashes", "need"])
@@ -291,13 +296,15 @@ def set_aside(least: int, longest: int) -> int:
     return max(0, min(least - 1, int(least / (MU * log2(max(2, longest)) + 1))))
 
 
-REQUESTS = pa.schema([("bucket", pa.int32()), ("class", pa.int64()), ("need", pa.int32()), ("others", pa.binary()), ("roots", pa.binary())])
+REQUESTS = pa.schema([("bucket", pa.int32()), ("class", pa.int64()), ("n", pa.int32()), ("need", pa.int32()), ("others", pa.binary()), ("roots", pa.binary()), ("sizes", pa.binary())])
 
 
-def candidates(found: DataFrame, tried: DataFrame | None, n_buckets: int, percent: int, best: int) -> DataFrame:
+def candidates(found: DataFrame, tried: DataFrame | None, n_buckets: int, percent: int, best: int, most: int) -> DataFrame:
     """Pairs (a, b), b in another component and in enough short lists of a, that haven't been tried.
 
-    Of the candidates that a class has in a component, the `best` by count come out.
+    Enough is what the sizes of both ask for, less the lists of a that were put aside. Of a
+    class's candidates the `most` by count come out, `best` of each component at most; the rest
+    waits for a later call.
     """
 
     def short_lists(table: pa.Table) -> pa.Table:
@@ -306,42 +313,49 @@ def candidates(found: DataFrame, tried: DataFrame | None, n_buckets: int, percen
         hashes, ids, sizes, roots, need = (x[order] for x in (hashes, ids, sizes, roots, need))
         lists: dict[tuple[int, int], list] = {}
         for _, x, y in A.slices(hashes):
-            i, n, r = ids[x:y], sizes[x:y], roots[x:y]
+            i, n, r, size = ids[x:y], sizes[x:y] >> BITS, roots[x:y], sizes[x:y]
             for q in np.flatnonzero(need[x:y]):
                 # A larger partner finds this class from its own side; of equal ones the larger id does.
                 fits = (r != r[q]) & (100 * n >= percent * n[q]) & ((n < n[q]) | ((n == n[q]) & (i < i[q])))
                 if fits.any():
-                    lists.setdefault((int(i[q]), int(need[x + q])), []).append((i[fits], r[fits]))
+                    lists.setdefault((int(i[q]), int(n[q]), int(need[x + q])), []).append((i[fits], r[fits], size[fits]))
         out = []
-        for (q, k), parts in lists.items():  # lists stay apart: each is sorted, a length before each
-            others = np.concatenate([np.append(len(o), o) for o, _ in parts])
-            out.append((int(A.key_bucket(np.array([q]), n_buckets)[0]), q, k, others.tobytes(), np.concatenate([r for _, r in parts]).tobytes()))
+        for (q, n, k), parts in lists.items():  # lists stay apart: each is sorted, a length before each
+            others = np.concatenate([np.append(len(o), o) for o, *_ in parts])
+            roots, sizes = (np.concatenate([p[c] for p in parts]) for c in (1, 2))
+            out.append((int(A.key_bucket(np.array([q]), n_buckets)[0]), q, n, k, others.tobytes(), roots.tobytes(), A.pack(sizes)))
         return table_of(out, REQUESTS)
 
+    def possible(n: int, size: int, overlap: int) -> bool:
+        """Whether `overlap`, the most there can be, and the other's number of shared hashes are enough for both sizes."""
+        return min(overlap, size & LOW) * (100 + percent) >= percent * (n + (size >> BITS))
+
     def search(table: pa.Table) -> pa.Table:
         lists: dict[int, list] = {}
-        root, need, done = {}, {}, {}
+        root, size_of, need, done = {}, {}, {}, {}
         for r in table.to_pylist():
             others = np.frombuffer(r["others"], np.int64)
             if r["need"] == 0:
                 done.setdefault(r["class"], set()).update(others.tolist())
                 continue
-            need[r["class"]], at, flat = r["need"], 0, []
+            size_of[r["class"]] = r["n"]
+            need[r["class"]], at, flat = r["need"] - least_overlap(r["n"], percent), 0, []
             while at < len(others):
                 part = others[at + 1 : at + 1 + others[at]].tolist()
                 lists.setdefault(r["class"], []).append(part)
                 flat += part
                 at += 1 + int(others[at])
             root.update(zip(flat, np.frombuffer(r["roots"], np.int64).tolist(), strict=True))
+            size_of.update(zip(flat, A.unpack(r["sizes"]).tolist(), strict=True))
         out = []
         for q, found in lists.items():
             times: dict[int, int] = {}
             for other in heap_merge(*found):
                 times[other] = times.get(other, 0) + 1
-            skip, per = done.get(q, ()), {}
-            for n, other in sorted((-n, o) for o, n in times.items() if n >= need[q] and o not in skip):
-                if (seen := per.get(root[other], 0)) < best:
-                    per[root[other]] = seen + 1
+            skip, per, left = done.get(q, ()), {}, most
+            for _, other in sorted((-n, o) for o, n in times.items() if o not in skip and possible(size_of[q], size_of[o], n - need[q])):
+                if left and (seen := per.get(root[other], 0)) < best:
+                    per[root[other]], left = seen + 1, left - 1
                     out.append((q, other))
         return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
@@ -350,7 +364,7 @@ def candidates(found: DataFrame, tried: DataFrame | None, n_buckets: int, percen
             a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             order = np.argsort(a, kind="stable")
             a, b = a[order], b[order]
-            rows = [(int(A.key_bucket(a[x : x + 1], n_buckets)[0]), q, 0, b[x:y].tobytes(), None) for q, x, y in A.slices(a)]
+            rows = [(int(A.key_bucket(a[x : x + 1], n_buckets)[0]), q, 0, 0, b[x:y].tobytes(), None, None) for q, x, y in A.slices(a)]
             yield from table_of(rows, REQUESTS).to_batches()
 
     requests = _by_hash(found, n_buckets).groupBy("bucket").applyInArrow(short_lists, ddl(REQUESTS))
@@ -370,17 +384,17 @@ def similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, first:
     found = stage(sets(lists, percent), "shingle-sets")
     links = stage(first_links(found, percent, first), "first-links")
     roots = components(links)
-    tried, best = None, 1
+    tried, best, most = None, 1, MOST
     while True:
         rooted = found.join(roots.withColumnRenamed("node", "class"), "class", "left").select("class", "n", F.coalesce("root", "class").alias("root"), "hashes")
         open_classes = stage(crossing(rooted, n, percent), "open-classes")
         if open_classes.isEmpty():
             break
-        pairs = stage(candidates(open_classes, tried, n, percent, best), "candidates")
+        pairs = stage(candidates(open_classes, tried, n, percent, best, most), "candidates")
         if pairs.isEmpty():
             break
         new = stage(verified(pairs, found, percent), "new-links")
-        tried, best = pairs if tried is None else tried.unionByName(pairs), best * MORE
+        tried, best, most = pairs if tried is None else tried.unionByName(pairs), best * MORE, most * MORE
         if not new.isEmpty():
             links = links.unionByName(new)
             roots = components(links)
