@@ -296,7 +296,7 @@ def set_aside(least: int, longest: int) -> int:
     return max(0, min(least - 1, int(least / (MU * log2(max(2, longest)) + 1))))
 
 
-REQUESTS = pa.schema([("bucket", pa.int32()), ("class", pa.int64()), ("n", pa.int32()), ("need", pa.int32()), ("others", pa.binary()), ("roots", pa.binary()), ("sizes", pa.binary()), ("shared", pa.binary())])
+REQUESTS = pa.schema([("bucket", pa.int32()), ("class", pa.int64()), ("n", pa.int32()), ("need", pa.int32()), ("others", pa.binary()), ("roots", pa.binary()), ("sizes", pa.binary())])
 
 
 def candidates(found: DataFrame, tried: DataFrame | None, n_buckets: int, percent: int, best: int, most: int) -> DataFrame:
@@ -307,32 +307,33 @@ def candidates(found: DataFrame, tried: DataFrame | None, n_buckets: int, percen
     waits for a later call.
     """
 
+    def possible(sizes, overlap):
+        """Whether `overlap`, the most there can be, is enough for the sum of both sizes."""
+        return overlap * (100 + percent) >= percent * sizes
+
     def short_lists(table: pa.Table) -> pa.Table:
         hashes, ids, sizes, roots, need = _entries(table)
         order = np.lexsort((ids, hashes))
         hashes, ids, sizes, roots, need = (x[order] for x in (hashes, ids, sizes, roots, need))
         lists: dict[tuple[int, int], list] = {}
         for _, x, y in A.slices(hashes):
-            i, n, r, size = ids[x:y], sizes[x:y] >> BITS, roots[x:y], sizes[x:y]
+            i, n, m, r = ids[x:y], sizes[x:y] >> BITS, sizes[x:y] & LOW, roots[x:y]
             for q in np.flatnonzero(need[x:y]):
                 # A larger partner finds this class from its own side; of equal ones the larger id does.
                 fits = (r != r[q]) & (100 * n >= percent * n[q]) & ((n < n[q]) | ((n == n[q]) & (i < i[q])))
+                fits &= possible(n + n[q], np.minimum(m, m[q]))
                 if fits.any():
-                    lists.setdefault((int(i[q]), int(n[q]), int(need[x + q])), []).append((i[fits], r[fits], size[fits]))
+                    lists.setdefault((int(i[q]), int(n[q]), int(need[x + q])), []).append((i[fits], r[fits], n[fits]))
         out = []
         for (q, n, k), parts in lists.items():  # lists stay apart: each is sorted, a length before each
             others = np.concatenate([np.append(len(o), o) for o, *_ in parts])
             roots, sizes = (np.concatenate([p[c] for p in parts]) for c in (1, 2))
-            out.append((int(A.key_bucket(np.array([q]), n_buckets)[0]), q, n, k, others.tobytes(), roots.tobytes(), A.pack(sizes >> BITS), A.pack(sizes & LOW)))
+            out.append((int(A.key_bucket(np.array([q]), n_buckets)[0]), q, n, k, others.tobytes(), roots.tobytes(), A.pack(sizes)))
         return table_of(out, REQUESTS)
 
-    def possible(sizes: int, overlap: int) -> bool:
-        """Whether `overlap`, the most there can be, is enough for the sum of both sizes."""
-        return overlap * (100 + percent) >= percent * sizes
-
     def search(table: pa.Table) -> pa.Table:
         lists: dict[int, list] = {}
-        root, size_of, shared_of, n_of, need, done = {}, {}, {}, {}, {}, {}
+        root, size_of, n_of, need, done = {}, {}, {}, {}, {}
         for r in table.to_pylist():
             others = np.frombuffer(r["others"], np.int64)
             if r["need"] == 0:
@@ -347,14 +348,13 @@ def candidates(found: DataFrame, tried: DataFrame | None, n_buckets: int, percen
                 at += 1 + int(others[at])
             root.update(zip(flat, np.frombuffer(r["roots"], np.int64).tolist(), strict=True))
             size_of.update(zip(flat, A.unpack(r["sizes"]).tolist(), strict=True))
-            shared_of.update(zip(flat, A.unpack(r["shared"]).tolist(), strict=True))
         out = []
         for q, found in lists.items():
             times: dict[int, int] = {}
             for other in heap_merge(*found):
                 times[other] = times.get(other, 0) + 1
             skip, per, left = done.get(q, ()), {}, most
-            for _, other in sorted((-n, o) for o, n in times.items() if o not in skip and possible(n_of[q] + size_of[o], min(n - need[q], shared_of[o]))):
+            for _, other in sorted((-n, o) for o, n in times.items() if o not in skip and possible(n_of[q] + size_of[o], n - need[q])):
                 if left and (seen := per.get(root[other], 0)) < best:
                     per[root[other]], left = seen + 1, left - 1
                     out.append((q, other))
@@ -365,7 +365,7 @@ def candidates(found: DataFrame, tried: DataFrame | None, n_buckets: int, percen
             a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             order = np.argsort(a, kind="stable")
             a, b = a[order], b[order]
-            rows = [(int(A.key_bucket(a[x : x + 1], n_buckets)[0]), q, 0, 0, b[x:y].tobytes(), None, None, None) for q, x, y in A.slices(a)]
+            rows = [(int(A.key_bucket(a[x : x + 1], n_buckets)[0]), q, 0, 0, b[x:y].tobytes(), None, None) for q, x, y in A.slices(a)]
             yield from table_of(rows, REQUESTS).to_batches()
 
     requests = _by_hash(found, n_buckets).groupBy("bucket").applyInArrow(short_lists, ddl(REQUESTS))
