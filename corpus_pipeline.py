@@ -21,7 +21,7 @@ from tessera.llm.common import documents, stage, text_of
 from tessera.llm.exact_dedup import exact_dedup, normalised
 from tessera.llm.mixing import mix
 from tessera.llm.ngram_join import component_ids
-from tessera.llm.quality import judge
+from tessera.llm.quality import verdicts
 
 
 def without(docs: DataFrame, gone: DataFrame, key: Column, name: str) -> DataFrame:
@@ -33,9 +33,9 @@ def without(docs: DataFrame, gone: DataFrame, key: Column, name: str) -> DataFra
 def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    verdicts = judge(docs, labels, also={"text_hash": F.xxhash64(text_of(docs))})
+    judged = verdicts(docs, labels, also={"text_hash": F.xxhash64(text_of(docs))})
     key = F.xxhash64(docs["doc_id"], F.xxhash64(text_of(docs)))
-    return without(docs, verdicts.where(~F.col("kept")).select(F.xxhash64("doc_id", "text_hash")).distinct(), key, "rejected")
+    return without(docs, judged.where(~F.col("kept")).select(F.xxhash64("doc_id", "text_hash")).distinct(), key, "rejected")
 
 
 def one_of_equals(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -70,3 +70,46 @@ def test_clean_documents_stay_and_junk_goes(spark):
     got = X.op4_quality_rules(spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").toPandas()
     got = got[~got.base_failed]
     assert got[got.quality == 1].kept.mean() > 0.999 and got[got.quality == 0].kept.mean() < 0.05
+
+
+def brute_apart(rows, good, threshold):
+    """doc_id and kept: every document by the counts of the others."""
+    own = [Counter(grams(words_of(t))) for _, t in rows]
+    raw, tgt = Counter(), Counter()
+    for (i, _), c in zip(rows, own, strict=True):
+        raw.update(c)
+        tgt.update(c if i in good else {})
+    plain = {r[:7]: 0 for r in brute(rows, good, threshold)}
+    out = []
+    for (i, t), c in zip(rows, own, strict=True):
+        g, n = int(i in good), sum(c.values())
+        weight = {b: round(math.log((tgt[b] - g * k + X.PRIOR) / ((sum(tgt.values()) - g * n) * (raw[b] - k) / max(sum(raw.values()) - n, 1) + X.PRIOR)) * 1e6) for b, k in c.items()}
+        failed = next(r[6] for r in plain if r[0] == i and r[1] == len(words_of(t)))
+        out.append((i, n, not failed and sum(weight[b] * k for b, k in c.items()) >= round(threshold * 1e6) * n))
+    return sorted(out, key=repr)
+
+
+def apart(spark, rows, good, threshold):
+    docs = spark.createDataFrame([(i, t, "x", 1, "y") for i, t in rows], SCHEMA)
+    labels = spark.createDataFrame([(i, 1) for i in good], "doc_id bigint, quality int")
+    return X.verdicts(docs, labels, threshold, B).collect()
+
+
+def test_own_counts_are_left_out(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    rows += [(900, None), (901, ""), (903, "ab " * 3000), (None, "a b c d e f g h i j k")]
+    good = set(range(0, 200, 3))
+    got = apart(spark, rows, good, -0.01)
+    assert sorted(((r.doc_id, max(0, 2 * r.n_words - 1), r.kept) for r in got), key=repr) == brute_apart(rows, good, -0.01)
+    assert 0 < sum(r.kept for r in got) < len(got)
+    assert apart(spark, [], {1}, -0.1) == [] and len(apart(spark, rows[:5], set(), -0.1)) == 5
+
+
+def test_good_documents_left_out_of_the_target_stay(spark):
+    for sf, share in [("0.001", 2), ("0.01", 2), ("0.01", 5), ("0.1", 2), ("0.1", 50)]:
+        d = f"/root/testdata/sf{sf}"
+        labels = spark.read.parquet(f"{d}/labels.parquet")
+        fitted = labels.where(f"pmod(xxhash64(doc_id, 7), {share}) = 0")
+        got = X.verdicts(spark.read.parquet(f"{d}/documents.parquet"), fitted).join(labels, "doc_id").join(fitted.select("doc_id"), "doc_id", "left_anti").toPandas()
+        got = got[~got.base_failed & (got.quality == 1)]
+        assert len(got) > 20 and got.kept.mean() > 0.98, (sf, share, len(got), got.kept.mean())
