@@ -9,7 +9,9 @@ The query and the pipeline use `verdicts`: a document is scored by what the othe
 n-grams are taken out of both multinomials, so its being in the target changes nothing; and
 each bucket is drawn towards ratio 1 by `PRIOR` pseudo-counts against the count that the
 target would have there if it were like the raw corpus, so a bucket with little evidence says
-little, however small the target. `PRIOR` was chosen with labels left out of the target, at
+little, however small the target. Equal texts (by their 64-bit hash) count once in both
+multinomials, in the target when one of them is, so copies don't turn against themselves; all
+are scored. `PRIOR` was chosen with labels left out of the target, at
 `THRESHOLD`: of the good documents left out, under 1% are rejected with 2 to 3,000 labels. With
 few labels fewer of the bad ones are found. `judge` is the plain ratio, with own counts.
 
@@ -19,7 +21,9 @@ whatever the input, which bounds what is broadcast (1 MB or so). Weights are int
 (millionths of a nat), so that scores don't depend on the order of summation.
 
 The target is fitted on at most `TARGET_DOCS` labelled documents, those with the smallest
-hash of their doc_id; their ids are the only other thing that is broadcast.
+hash of their doc_id; their ids and the hashes of their texts are broadcast too. The table of
+texts that occur more than once isn't bounded: Spark broadcasts it where it is small, else both
+sides are shuffled.
 
 Defined results: a null text counts as empty: no words, all counts 0, base_failed. Repeated
 rows are documents of their own. Without usable labels all scores are 0 and only the base
@@ -118,17 +122,24 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buck
     )
 
 
-def in_target(docs: DataFrame, labels: DataFrame, at_most: int) -> DataFrame:
-    """`docs` with `_good`, whether the row is in the target."""
+def text_groups(docs: DataFrame, labels: DataFrame, at_most: int) -> DataFrame:
+    """_hash, _copies, _good (1 when a copy is in the target) of texts that occur more than once or are in the target."""
     chosen = F.broadcast(target_ids(labels, at_most).select(F.col("doc_id").alias("_id")))
-    return docs.join(chosen, docs["doc_id"] == F.col("_id"), "left").withColumn("_good", F.col("_id").isNotNull().cast("bigint"))
+    rows = docs.select("doc_id", F.xxhash64(text_of(docs)).alias("_hash")).join(chosen, F.col("doc_id") == F.col("_id"), "left")
+    groups = rows.groupBy("_hash").agg(F.count(F.lit(1)).alias("_copies"), F.max(F.col("_id").isNotNull().cast("bigint")).alias("_good"))
+    return stage(groups.where("_copies > 1 OR _good = 1"), "text-groups")
 
 
 def verdicts(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS, also: dict[str, Column] | None = None, at_most: int = TARGET_DOCS) -> DataFrame:
     """As `judge`, each document by the counts of the others."""
-    also, marked = also or {}, in_target(docs, labels, at_most)
-    each = with_words(marked, "_good").select("_good", F.explode(grams(F.col("words"), buckets)).alias("bucket"))
-    counts = stage(each.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("_good").alias("good")), "gram-counts")
+    also, groups, key = also or {}, text_groups(docs, labels, at_most), F.xxhash64(text_of(docs))
+    targets = F.broadcast(groups.where("_good = 1").select(F.col("_hash").alias("_target")))
+    marked = docs.join(targets, key == F.col("_target"), "left").withColumn("_good", F.col("_target").isNotNull().cast("bigint"))
+    counted = marked.join(groups.where("_copies > 1").select("_hash", "_copies"), key == F.col("_hash"), "left")
+    share = F.lit(1.0) / F.coalesce("_copies", F.lit(1))  # of a text in each of its copies; their sums are whole numbers
+    each = with_words(counted, "_good", share.alias("share")).select("_good", "share", F.explode(grams(F.col("words"), buckets)).alias("bucket"))
+    whole = lambda c: F.round(F.sum(c)).cast("bigint")
+    counts = stage(each.groupBy("bucket").agg(whole(F.col("share")).alias("raw"), whole(F.col("share") * F.col("_good")).alias("good")), "gram-counts")
     n_raw, n_good = counts.agg(F.coalesce(F.sum("raw"), F.lit(0)), F.coalesce(F.sum("good"), F.lit(0))).first()
 
     rows = base_counts(with_words(marked, "doc_id", "_good", *(c.alias(n) for n, c in also.items())))

@@ -76,13 +76,14 @@ def brute_apart(rows, good, threshold):
     """doc_id and kept: every document by the counts of the others."""
     own = [Counter(grams(words_of(t))) for _, t in rows]
     raw, tgt = Counter(), Counter()
-    for (i, _), c in zip(rows, own, strict=True):
-        raw.update(c)
-        tgt.update(c if i in good else {})
+    target = {t or "" for i, t in rows if i in good}
+    for t in {t or "" for _, t in rows}:
+        raw.update(grams(words_of(t)))
+        tgt.update(grams(words_of(t)) if t in target else {})
     plain = {r[:7]: 0 for r in brute(rows, good, threshold)}
     out = []
     for (i, t), c in zip(rows, own, strict=True):
-        g, n = int(i in good), sum(c.values())
+        g, n = int((t or "") in target), sum(c.values())
         weight = {b: round(math.log((tgt[b] - g * k + X.PRIOR) / ((sum(tgt.values()) - g * n) * (raw[b] - k) / max(sum(raw.values()) - n, 1) + X.PRIOR)) * 1e6) for b, k in c.items()}
         failed = next(r[6] for r in plain if r[0] == i and r[1] == len(words_of(t)))
         out.append((i, n, not failed and sum(weight[b] * k for b, k in c.items()) >= round(threshold * 1e6) * n))
@@ -113,3 +114,19 @@ def test_good_documents_left_out_of_the_target_stay(spark):
         got = X.verdicts(spark.read.parquet(f"{d}/documents.parquet"), fitted).join(labels, "doc_id").join(fitted.select("doc_id"), "doc_id", "left_anti").toPandas()
         got = got[~got.base_failed & (got.quality == 1)]
         assert len(got) > 20 and got.kept.mean() > 0.98, (sf, share, len(got), got.kept.mean())
+
+
+def test_many_copies_without_labels_stay(spark):
+    d = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    labelled, texts = {r.doc_id for r in labels.collect()}, {r.doc_id: r.text for r in docs.collect()}
+    n_of = Counter(texts.values())
+    before = sorted((r.doc_id, r.score) for r in X.verdicts(docs, labels).collect() if r.kept)
+    clean = [(texts[i], score) for i, score in before if i not in labelled and n_of[texts[i]] == 1][:2]
+    assert len(clean) == 2
+    for text, score in clean:
+        n = len(texts) // 2  # a third of all rows
+        copies = spark.createDataFrame([(10000000 + i, text) for i in range(n)], "doc_id bigint, text string")
+        got = X.verdicts(docs.select("doc_id", "text").unionByName(copies), labels).collect()
+        got = [r for r in got if r.doc_id >= 10000000]
+        assert len(got) == n and all(r.kept and abs(r.score - score) < 1e-9 for r in got)
