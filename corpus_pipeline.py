@@ -6,8 +6,8 @@ narrow rows, writes them, and joins them back on the key; where few documents go
 those that go is small and Spark broadcasts it, else both sides are shuffled.
 
 Defined results: null texts count as empty (and fail the quality rules). Rows without a doc_id
-are judged by their text alone and stay in the near-duplicate stage. Of rows that repeat in
-full, one stays after the exact dedup. An empty table gives an empty result.
+are judged by their text alone. The first three stages name rows by doc_id and text, as one
+doc_id can stand for several texts. Of rows that repeat in full, one stays after the exact dedup. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -53,8 +53,14 @@ def one_of_equals(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that are linked, directly or by others, the one with the smallest doc_id stays."""
-    return without(docs, component_ids(docs).where("doc_id <> component_id").select("doc_id").distinct(), docs["doc_id"], "near-copies")
+    """Of rows that are linked, directly or by others, the one with the smallest doc_id stays (none comes last), then by the text's hash."""
+    text_hash = F.xxhash64(text_of(docs))
+    key = F.xxhash64(docs["doc_id"], text_hash)
+    found = component_ids(docs.select(key.alias("doc_id"), "text")).select(F.col("doc_id").alias("name"), "component_id")
+    place = F.struct(docs["doc_id"].isNull().alias("unnamed"), docs["doc_id"].alias("doc_id"), text_hash.alias("text_hash"), key.alias("name"))
+    placed = stage(found.join(docs.select(key.alias("name"), place.alias("place")).distinct(), "name"), "placed")
+    stays = placed.groupBy("component_id").agg(F.min("place").alias("place")).select("place.name")
+    return without(docs, placed.select("name").distinct().join(stays, "name", "left_anti"), key, "near-copies")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -57,3 +57,13 @@ def test_nulls_and_repeated_rows(spark):
     assert {r.doc_id for r in X.mixed(spark, once, D).collect()} <= {1, 3}
     for _, step in X.STAGES:
         assert step(spark, docs.limit(0), D).count() == 0
+
+
+def test_one_of_each_group_of_near_copies_stays(spark):
+    """Where a doc_id stands for several texts, or is missing, too."""
+    x, y, z = ([f"{c}{i}" for i in range(60)] for c in "xyz")
+    near = lambda w, end: " ".join([*w, end])
+    rows = [(5, near(x, "one")), (7, near(x, "two")), (5, near(y, "one")), (3, near(y, "two")), (None, near(z, "one")), (None, near(z, "two")), (None, near(x, "three"))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted(((r.doc_id, r.text[0]) for r in X.one_of_near_copies(spark, docs, D).collect()), key=str)
+    assert got == [(3, "y"), (5, "x"), (None, "z")]
