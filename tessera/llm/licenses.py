@@ -23,6 +23,9 @@ travel with the code. A whole text is looked at, however long, in pieces of nump
 Defined results: a null or empty text has no findings. Rows are independent, so repeated rows,
 ties and null doc_ids need no further rule. Spans are code points, the end exclusive. An empty
 table gives an empty result; further columns are ignored.
+
+Not found: notices with a word changed, one-word names (GPLv3), and the full texts of LGPL,
+MPL, AGPL and Creative Commons, which have no template.
 """
 
 from __future__ import annotations
@@ -107,6 +110,7 @@ NAMES = {
     "MIT": ["MIT License"],
     "MPL-2.0": ["Mozilla Public License, Version 2.0"],
 }
+RIGHTS = {"All-rights-reserved": "All rights reserved"}
 LEADS = ("licensed under", "released under", "distributed under", "available under")
 
 #: Each byte of a word as itself, A-Z lower-cased; all others blank.
@@ -139,10 +143,12 @@ def seed_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]
 class Templates:
     """All templates with one sorted table of their seeds."""
 
-    def __init__(self, texts: dict[str, str], names: dict[str, list[str]]):
+    def __init__(self, texts: dict[str, str], names: dict[str, list[str]], alone: dict[str, str]):
         leads = [f"{lead}{article}" for lead in LEADS for article in (" ", " the ")]
         self.all = [Template(k, t, False) for k, t in texts.items()]
         self.all += [Template(k, lead + name, True) for k, some in names.items() for name in some for lead in leads]
+        self.all += [Template(k, f"SPDX-License-Identifier: {k}", True) for k in sorted({*texts, *names})]
+        self.all += [Template(k, t, True) for k, t in alone.items()]
         hashes = np.concatenate([t.seeds for t in self.all])
         owner = np.concatenate([np.full(len(t.seeds), i) for i, t in enumerate(self.all)])
         at = np.concatenate([np.arange(len(t.seeds)) for t in self.all])
@@ -247,7 +253,7 @@ def findings(templates: Templates, data: np.ndarray, offsets: np.ndarray) -> dic
 
 @lru_cache(maxsize=1)
 def all_templates() -> Templates:
-    return Templates(TEXTS, NAMES)
+    return Templates(TEXTS, NAMES, RIGHTS)
 
 
 FINDING = pa.struct([("license", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("matched", pa.int64()), ("length", pa.int64())])
@@ -274,12 +280,15 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def op8_license_scan(spark, sf_dir: str) -> DataFrame:
-    """doc_id, n_findings, licenses (distinct ids in order, comma-joined), coverage (the best), spans (id:start:end, comma-joined)."""
+    """doc_id, n_findings, licenses (distinct ids in order, comma-joined), coverage (the best), spans (id:start:end, comma-joined), rights (as spans, of notices that name no license)."""
     span = lambda f: F.concat_ws(":", f["license"], f["start"].cast("string"), f["end"].cast("string"))
-    return scan(documents(spark, sf_dir)).select(
+    is_right = lambda f: f["license"].isin(*RIGHTS)
+    found = scan(documents(spark, sf_dir)).withColumn("rights", F.filter("findings", is_right)).withColumn("findings", F.filter("findings", lambda f: ~is_right(f)))
+    return found.select(
         "doc_id",
         F.size("findings").cast("bigint").alias("n_findings"),
         F.array_join(F.array_sort(F.array_distinct(F.transform("findings", lambda f: f["license"]))), ",").alias("licenses"),
         F.array_max(F.transform("findings", lambda f: f["matched"] / f["length"])).alias("coverage"),
         F.array_join(F.transform("findings", span), ",").alias("spans"),
+        F.array_join(F.transform("rights", span), ",").alias("rights"),
     )

@@ -95,3 +95,16 @@ def test_increasing():
             best[i] = 1 + max((best[j] for j in range(i) if v[j] < v[i]), default=0)
         got = [v[i] for i in X.increasing(v)]
         assert got == sorted(set(got)) and len(got) == max(best, default=0)
+
+
+def test_rights_lines_and_tags(spark):
+    d = "/root/testdata/sf0.1"
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{d}/documents.parquet").collect()}
+    lines = 0
+    for r in X.op8_license_scan(spark, d).collect():
+        want = [f"All-rights-reserved:{m.start()}:{m.end()}" for m in re.finditer(r"\bAll rights reserved\b", docs[r.doc_id], re.I)]
+        assert r.rights == ",".join(want)
+        lines += len(want)
+    assert lines >= 66
+    got = run(spark, [(1, "# SPDX-License-Identifier: MIT\ncode"), (2, "// SPDX-License-Identifier: CC-BY-NC-4.0"), (3, "SPDX-License-Identifier: none")])
+    assert [[f[0] for f in got[i]] for i in (1, 2, 3)] == [["MIT"], ["CC-BY-NC-4.0"], []]
