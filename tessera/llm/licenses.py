@@ -160,6 +160,8 @@ class Templates:
         low = np.searchsorted(self.hashes, hashes, side="left")
         n = np.searchsorted(self.hashes, hashes, side="right") - low
         hit = np.flatnonzero(n)
+        if not len(hit):
+            return
         n = n[hit]
         entry = np.repeat(low[hit], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         of, template = np.repeat(text[hit], n), self.owner[entry]

@@ -86,6 +86,13 @@ def test_edges(spark):
     assert run(spark, []) == {}
 
 
+def test_chunks_without_a_seed(spark):
+    """No text of a task has three words of a template together, or only some have."""
+    for rows in ([(1, "plain text here")], [(1, "plain text here"), (2, None), (3, "one two")], [(1, "x " * 9), (2, X.MIT)]):
+        got = run(spark, rows)
+        assert {i for i, found in got.items() if found} == {i for i, t in rows if t == X.MIT}
+
+
 def test_increasing():
     rng = random.Random(1)
     for _ in range(200):
