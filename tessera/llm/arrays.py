@@ -8,6 +8,7 @@ for each bucket, with binary columns; Spark shuffles and groups those rows by bu
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +60,69 @@ def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+#: For each of the first 64 places of a word and each byte there, a random-looking value.
+PLACES = 64
+BYTE_AT = mix(np.arange(1, PLACES * 256 + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Tabulation hash of each word data[start:end]; BLAKE2 for words over `PLACES` bytes. Words are in order and apart.
+
+    Unlike a polynomial modulo 2**64, it has no words that collide whatever the base.
+    """
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    # The place of each byte in its word, modulo PLACES; a byte's arithmetic is enough for that.
+    begin = np.repeat(starts.astype(np.uint8), np.diff(starts, append=len(data)))
+    place = np.arange(starts[0], len(data)).astype(np.uint8) - begin & np.uint8(PLACES - 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.bitwise_xor.accumulate(BYTE_AT[place.astype(np.uint16) << np.uint16(8) | data[starts[0] :]], out=sums[starts[0] + 1 :])
+    hashes = mix(sums[ends] ^ sums[starts])
+    for i in np.flatnonzero(ends - starts > PLACES).tolist():
+        hashes[i] = int.from_bytes(blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return hashes
+
+
+#: Moduli and bases of the window hashes: primes below 2**31, so that products fit 64 bits.
+PRIMES = ((2147483647, 1402946779, 0), (2147483629, 1719614413, 31), (2147483587, 1207959559, 17))
+
+
+class _PrimePowers:
+    """Powers of a base and of its inverse modulo a prime, as many as were needed so far."""
+
+    def __init__(self, prime: int, base: int):
+        self.prime, self.bases, self.tables = prime, (base, pow(base, -1, prime)), [np.ones(1, np.uint64)] * 2
+
+    def get(self, n: int) -> list[np.ndarray]:
+        while len(self.tables[0]) < n:  # the upper half is the lower one times the next power
+            size = len(self.tables[0])
+            self.tables = [np.concatenate([t, t * np.uint64(pow(b, size, self.prime)) % np.uint64(self.prime)]) for b, t in zip(self.bases, self.tables, strict=True)]
+        return [t[:n] for t in self.tables]
+
+
+PRIME_POWERS = [_PrimePowers(p, b) for p, b, _ in PRIMES]
+
+
+def _rabin_karp(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int) -> np.ndarray:
+    """Polynomial of words[start:end] modulo a prime, below 2**31, by differences of prefix sums."""
+    prime, shift = np.uint64(PRIMES[which][0]), np.uint64(PRIMES[which][2])
+    up, down = PRIME_POWERS[which].get(len(words) + 1)
+    sums = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum((words >> shift & np.uint64((1 << 31) - 1)) % prime * up[:-1] % prime, out=sums[1:])
+    return (sums[ends] - sums[starts]) % prime * down[starts] % prime
+
+
+def window_hashes(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Rabin-Karp hash of words[start:end] for each range, modulo two primes at once; spread over 64 bits."""
+    both = _rabin_karp(words, starts, ends, 0) << np.uint64(31) | _rabin_karp(words, starts, ends, 1)
+    return mix(both + ((ends - starts).astype(np.uint64) << np.uint64(62)))
+
+
+def window_buckets(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, buckets: int) -> np.ndarray:
+    """A bucket for each range from a third polynomial, so that it tells apart what `window_hashes` doesn't."""
+    return bucket_of(mix(_rabin_karp(words, starts, ends, 2) + np.uint64(1)), buckets)
+
+
 def text_chunks(batches: Iterator[pa.RecordBatch], at_most: int = CHUNK_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(doc keys, bytes, offsets) of consecutive rows of (key, text), of about `at_most` bytes."""
     for batch in batches:

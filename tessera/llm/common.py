@@ -2,36 +2,62 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: White space of all contracts: U+0020 and U+0009 to U+000D.
 SPACE = r"[ \t-\r]"
+#: Spark states sizes about 2**63 for tables whose size it doesn't know.
+UNKNOWN = 1 << 58
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; only where none is named, one for this session is made (tests)."""
+    """The cluster's shared folder. Only a local session may go without one and gets its own (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-"))
         named = spark.sparkContext.getCheckpointDir()
     return named
 
 
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: lineage ends there, so a lost executor costs a reread."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _FOLDERS[out] = path
+    return out
+
+
+def discard(*staged: DataFrame | None) -> None:
+    """Delete what `stage` wrote for these, once nothing that is still to be computed reads it."""
+    for df in staged:
+        if df is not None and (path := _FOLDERS.pop(df, None)):
+            folder = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
 
+def buckets(docs: DataFrame, bytes_each: int = 24 << 20) -> int:
+    """Parts of a key space: some for each shuffle partition, and more where the input has many bytes.
 
-def buckets(spark: SparkSession, per_partition: int = 2) -> int:
-    """Parts of a key space: a few for each shuffle partition, whose number follows the input on a cluster."""
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))) * per_partition
+    A bucket is what a task holds in memory, so its size is bounded by the input's size as the
+    scan states it, whatever number of shuffle partitions is set.
+    """
+    spark = docs.sparkSession
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    at_least = 2 * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(at_least, size // bytes_each if size < UNKNOWN else 0)
 
 
 def text_of(docs: DataFrame) -> Column:

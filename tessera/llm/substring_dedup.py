@@ -108,7 +108,7 @@ def count(found: DataFrame, n_buckets: int) -> DataFrame:
 
 def repeated_words(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """key, starts, stops: the maximal intervals of words of each document to be removed."""
-    n = buckets(docs.sparkSession)
+    n = buckets(docs)
     found = postings(keyed(docs), lambda data, offsets: windows(data, offsets, size), n)
     return intervals(count(found, n), size)
 

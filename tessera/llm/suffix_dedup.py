@@ -339,7 +339,7 @@ def gathered(columns: list[np.ndarray], order: list[int]) -> np.ndarray:
 
 def repeated_bytes(docs: DataFrame, size: int = SIZE, core: int = CORE) -> DataFrame:
     """key, starts, stops: the maximal runs of bytes of each document to be removed."""
-    n = buckets(docs.sparkSession)
+    n = buckets(docs)
     chosen = repeated_cores(docs, size, core, n)
     texts = packed_texts(docs, bytes).join(chosen, "key").select("key", "size", "body", "pos")
     return intervals(repeats(sorted_runs(texts, size, core, n), size, core, n), size)

@@ -71,12 +71,46 @@ def test_the_search_alone_finds_all_links(spark, monkeypatch):
     rng = random.Random(5)
     base = [[f"w{g}_{i}" for i in range(60)] for g in range(4)]
     rows = [(i, " ".join(w if rng.random() > 0.01 else f"x{rng.random()}" for w in base[i % 4])) for i in range(60)]
-    monkeypatch.setattr(X, "first_links", lambda found, *a: found.sparkSession.createDataFrame([], "a bigint, b bigint, overlap int"))
+    none = lambda classes, *a: classes.sparkSession.createDataFrame([], "a bigint, b bigint")
+    monkeypatch.setattr(X, "vote_links", none)
+    monkeypatch.setattr(X, "leader_pairs", none)
     for mu in (0.01, 5.0):
         monkeypatch.setattr(X, "MU", mu)
         assert run(spark, rows) == brute(rows)
 
 
+def thue_morse(k):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(1 << k))
+
+
+def test_words_that_collide_in_powers_of_two(spark):
+    """A polynomial modulo a power of two has one value for a Thue-Morse word and its complement, whatever its base."""
+    word = thue_morse(10)
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, " ".join([word] * 5)), (2, " ".join([other] * 5)), (3, word), (4, other), (5, " ".join(thue_morse(11))), (6, " ".join(thue_morse(11)).translate(str.maketrans("ab", "ba")))]
+    got = run(spark, rows)
+    assert got == brute(rows) and [r[2] for r in got][:4] == [1, 2, 3, 4]
+
+
+def test_a_group_just_below_the_threshold_emits_no_pairs():
+    """Members near to a leader, none near to another member: what is looked at together doesn't grow with the square."""
+    rng, made = random.Random(3), []
+    for n in (100, 200, 400):
+        base = list(range(200))
+        sets = {0: base}
+        for c in range(1, n):
+            gone = {x for at in rng.sample(range(0, 200, 5), 7) for x in range(at, at + 5)}
+            sets[c] = [x for x in base if x not in gone] + [1000 * c + i for i in range(35)]
+        entries = sorted((h, len(s), c) for c, s in sets.items() for h in s)
+        votes = {c: sum(h < 200 for h in s) for c, s in sets.items()}
+        size = X.np.array([e[1] for e in entries])
+        column = lambda f: X.np.array([f(h, c) for h, _, c in entries])  # noqa: B023, E731
+        led = lambda h, c: (0 if h < 200 else X.SHORT) | (X.PLAIN if votes[c] >= X.least_overlap(200, 75) else 0)  # noqa: B023, E731
+        e = {"hashes": column(lambda h, c: h), "ids": column(lambda h, c: c), "n": size, "m": size, "roots": column(lambda h, c: c), "leads": column(lambda h, c: 0), "votes": column(lambda h, c: votes[c]), "aside": column(lambda h, c: 0), "extra": column(led)}
+        made.append(sum(len(p["q"]) for p in X.meetings(e, 75)))
+    assert made == [0, 0, 0]
+
+
 def test_edges(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "one"), (5, "ONE"), (6, "one two"), (7, "A b c d e"), (8, "a B c\nd e"), (9, "É b c d e"), (10, "é b c d e"), (None, "one"), (None, "alone here"), (11, "same row"), (11, "same row"), (12, "w " * 50_000), (13, "w w w w w w")]
     assert run(spark, rows) == brute(rows)
