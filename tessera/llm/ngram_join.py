@@ -61,8 +61,8 @@ WORDS, PERCENT, MU, BEST, MOST, MORE = 5, 75, 0.02, 4, 64, 16
 POSTINGS = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("hashes", pa.binary()), ("ids", pa.binary()), ("runs", pa.binary()), ("sizes", pa.binary()), ("docs", pa.binary())])
 #: kind 0: a class with its shared hashes; 1: as above.
 SETS = pa.schema([("kind", pa.int32()), ("class", pa.int64()), ("n", pa.int32()), ("weight", pa.int32()), ("hashes", pa.list_(pa.int64())), ("ids", pa.binary()), ("runs", pa.binary()), ("sizes", pa.binary()), ("docs", pa.binary()), ("sums", pa.binary())])
-#: Pairs looked at together inside a task.
-AT_ONCE = 1 << 21
+#: Pairs looked at together inside a task, and postings of open classes in a bucket.
+AT_ONCE, POSTINGS_EACH = 1 << 21, 1 << 16
 
 
 def ddl(schema: pa.Schema) -> str:
@@ -500,6 +500,12 @@ def leader_pairs(classes: DataFrame, tried: DataFrame | None) -> DataFrame:
     return pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
 
 
+def parts_of(classes: DataFrame) -> int:
+    """Buckets for the hashes of these classes, by their number."""
+    size = classes.agg(F.sum(F.size("hashes").cast("bigint"))).first()[0] or 0  # one number
+    return 1 + size // POSTINGS_EACH
+
+
 def follow(rooted: DataFrame, mapping: DataFrame) -> DataFrame:
     """`rooted` with the roots that `mapping` (node, root) leads to."""
     to = mapping.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
@@ -525,6 +531,7 @@ def similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, seed: i
     links, roots, best, most, open_classes, tried, changed = [], [], BEST, MOST, None, None, True
     while True:
         if changed:
+            n = parts_of(classes)
             before, open_classes = open_classes, stage(crossing(classes, n, percent), "open-classes")
             discard(before)
             if open_classes.isEmpty():
