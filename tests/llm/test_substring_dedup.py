@@ -36,3 +36,12 @@ def test_edges(spark):
         assert run(spark, rows, size) == brute(rows, size)
     assert run(spark, rows, 3, 1) == brute(rows, 3)
     assert run(spark, [], 3) == [] and run(spark, [(1, "a b")], 3) == [(1, 2, 0, hashlib.sha256(b"a b").hexdigest())]
+
+
+def test_words_that_collide_in_powers_of_two(spark):
+    """Thue-Morse words and their complements: one value in every polynomial modulo a power of two."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, " ".join([word] * 35)), (2, " ".join([other] * 35)), (3, " ".join(word)), (4, " ".join(other))]
+    got = run(spark, rows)
+    assert got == brute(rows, 35) and [r[2] for r in got[:2]] == [0, 0]
