@@ -11,18 +11,23 @@ odds are those of the source's fraction, f / (1 - f), times the document's lengt
 source's mean length, held between 1/4 and 4, so the sample has unequal probabilities and
 its size in words is fixed to within half a document.
 
-Finding the mark takes no sort of a whole source: ranks fall into `BINS` bins, words are
-summed by bin, and documents are put in order within their bin only. A hot source is thus
-spread over `BINS` sorts.
+Finding the mark takes no sort of a whole source: the logarithms of the ranks fall into bins,
+`BINS` for each octave, words are summed by bin, and only the bin that holds the mark is put in
+order. Whatever the fraction, a bin has at most ln 2 / 4 / `BINS` of a source's documents, or
+0.02 %, so a hot source is one sum and a small sort. The mark is a row for each source; every
+document is then held against its source's mark where it is read, and no text is moved.
 
 Targets: the sources in the order of their names (code points, null last) weigh 5, 2, 1,
 repeating; a target ends at 3 times its source's size, and what is over goes to the others
 by weight until no target is above. That is min(3 * size, level * weight) for one level,
-which sums over the sorted sources give without iteration.
+which sums over the sorted sources give without iteration. That table has one row for each
+source and is sorted in one task, which bounds the number of sources to some tens of millions.
 
 Defined results: a null or empty text has size 0 and is taken 0 words. A null source is a
-source. A source without words has target 0. Rows that repeat are documents of their own,
-with equal ranks, taken in no stated order among themselves. Empty table, empty result.
+source. A source without words has target 0. Documents without a doc_id draw by their text.
+Of equal ranks the smaller doc_id comes first, then the shorter text, then the smaller hash of
+the text; rows that are equal in all that are interchangeable, and as many of them as fit are
+taken. Empty table, empty result. Extra columns are ignored, or kept by `take`.
 """
 
 from __future__ import annotations
@@ -31,9 +36,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.llm.common import documents, stage, text_of
+from tessera.llm.common import discard, documents, stage, text_of
 
 WEIGHTS, CAP, BINS, SEED = (5.0, 2.0, 1.0), 3, 1024, "mix"
+#: What ranks a document within its source.
+RANK = "struct<key:double,unnamed:boolean,doc_id:bigint,size:bigint,hash:bigint>"
 
 
 def n_words(text: Column) -> Column:
@@ -57,16 +64,31 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = C
     return table.withColumn("target", F.when(F.col("source_size") == 0, 0.0).otherwise(aim)).drop("weight", "ratio", "rank", "level")
 
 
-def uniform(doc_id: Column, seed: str = SEED) -> Column:
+def uniform(doc_id: Column, text: Column, seed: str = SEED) -> Column:
     """A number in (0, 1) from 40 bits of an md5, the same in every run."""
-    bits = F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("")))), 1, 10), 16, 10)
+    bits = F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.md5(text)))), 1, 10), 16, 10)
     return (bits.cast("double") + 0.5) / float(2**40)
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP, bins: int = BINS) -> DataFrame:
-    """doc_id, size, source_size, target, taken, copies: a row for each row of `docs`."""
-    rows = docs.select("doc_id", "source", n_words(text_of(docs)).alias("size"))
-    rows = stage(rows.withColumn("u", uniform(F.col("doc_id"))), "sizes")
+def measured(docs: DataFrame, *keep: Column) -> DataFrame:
+    """doc_id, source, size, u and hash of each document."""
+    text = text_of(docs)
+    return docs.select(
+        docs["doc_id"].cast("bigint").alias("doc_id"), docs["source"].alias("source"), n_words(text).alias("size"), uniform(docs["doc_id"], text).alias("u"), F.xxhash64(text).alias("hash"), *keep
+    )
+
+
+def ranked(rows: DataFrame, aims: DataFrame, bins: int) -> DataFrame:
+    """`rows` with their source's aims, their rank and its bin. Ranks go by random odds over inclusion odds."""
+    lean = F.greatest(F.lit(0.25), F.least(F.lit(4.0), (F.col("size") + 1) / F.col("mean")))
+    inclusion = F.when(F.col("fraction") > 0, F.col("fraction") / (1 - F.col("fraction"))).otherwise(1.0) * lean
+    both = rows.join(aims, F.col("source").eqNullSafe(F.col("_source"))).withColumn("key", F.col("u") / (1 - F.col("u")) / inclusion)
+    rank = F.struct("key", F.col("doc_id").isNull().alias("unnamed"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "size", "hash").cast(RANK)
+    return both.withColumn("rank", rank).withColumn("bin", F.floor(F.log2("key") * bins))
+
+
+def aims_of(rows: DataFrame, weights: tuple[float, ...], cap: int) -> DataFrame:
+    """By source: size, target, whole copies (certain), the fraction and words that are left (rest), mean size plus one."""
     totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     aims = targets(totals, weights, cap)
     ratio = F.col("target") / F.greatest(F.col("source_size"), F.lit(1))
@@ -79,21 +101,56 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP, b
         ((F.col("source_size") + F.col("n_docs")) / F.col("n_docs")).alias("mean"),
         (F.col("target") - F.col("certain") * F.col("source_size")).alias("rest"),
     )
-    aims = stage(aims, "targets")
-    # Key order is the order of random odds over inclusion odds; without a fraction nothing is sampled.
-    lean = F.greatest(F.lit(0.25), F.least(F.lit(4.0), (F.col("size") + 1) / F.col("mean")))
-    inclusion = F.when(F.col("fraction") > 0, F.col("fraction") / (1 - F.col("fraction"))).otherwise(1.0) * lean
-    ranked = rows.join(aims, F.col("source").eqNullSafe(F.col("_source"))).withColumn("key", F.col("u") / (1 - F.col("u")) / inclusion)
-    ranked = ranked.withColumn("bin", F.floor(F.col("key") / (1 + F.col("key")) * bins))
-    by_bin = ranked.groupBy("_source", "bin").agg(F.sum("size").alias("words"))
+    return stage(aims, "targets")
+
+
+def marked(rows: DataFrame, aims: DataFrame, bins: int) -> DataFrame:
+    """`aims` with the bin and the rank of each source's last document that is taken, and how many of that rank are, of how many."""
+    placed = ranked(rows.select("doc_id", "source", "size", "u", "hash"), aims.where("fraction > 0"), bins)
+    by_bin = placed.groupBy("_source", "bin").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
     running = Window.partitionBy("_source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    by_bin = by_bin.select(F.col("_source").alias("_s"), F.col("bin").alias("_bin"), F.coalesce(F.sum("words").over(running), F.lit(0)).alias("earlier"))
-    in_bin = Window.partitionBy("_source", "bin").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    placed = ranked.withColumn("before", F.coalesce(F.sum("size").over(in_bin), F.lit(0)))
-    placed = placed.join(by_bin, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("bin") == F.col("_bin")))
-    fits = (F.col("fraction") > 0) & (F.col("earlier") + F.col("before") + F.col("size") / 2 <= F.col("rest"))
-    copies = F.when(F.col("size") > 0, F.col("certain") + fits.cast("int")).otherwise(0)
-    return placed.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), copies.cast("int").alias("copies"))
+    by_bin = by_bin.withColumn("earlier", F.coalesce(F.sum("words").over(running), F.lit(0)))
+    last = by_bin.where("earlier <= rest").groupBy("_source").agg(F.max(F.struct("bin", "earlier")).alias("m"))
+    last = stage(last.select(F.col("_source").alias("_s"), F.col("m.bin").alias("mark_bin"), "m.earlier"), "mark-bins")
+    in_bin = placed.join(last, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("bin") == F.col("mark_bin")))
+    before = F.coalesce(F.sum("size").over(Window.partitionBy("_source").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    fits = in_bin.withColumn("fits", (F.col("earlier") + before + F.col("size") / 2 <= F.col("rest")).cast("bigint"))
+    of_rank = fits.groupBy("_source", "rank").agg(F.sum("fits").alias("n_taken"), F.count(F.lit(1)).alias("n_rank"))
+    mark = of_rank.where("n_taken > 0").groupBy("_source").agg(F.max(F.struct("rank", "n_taken", "n_rank")).alias("m"))
+    mark = mark.select(F.col("_source").alias("_t"), F.col("m.rank").alias("mark"), "m.n_taken", "m.n_rank")
+    found = aims.join(last.drop("earlier"), F.col("_source").eqNullSafe(F.col("_s")), "left").join(mark, F.col("_source").eqNullSafe(F.col("_t")), "left")
+    return stage(found.drop("_s", "_t"), "marks")
+
+
+def with_copies(rows: DataFrame, marks: DataFrame, bins: int) -> DataFrame:
+    """`rows` with `copies`: how often the mix takes each."""
+    placed = ranked(rows, marks, bins)
+    below = (F.col("bin") < F.col("mark_bin")) | ((F.col("bin") == F.col("mark_bin")) & (F.col("rank") < F.col("mark")))
+    at = (F.col("bin") == F.col("mark_bin")) & (F.col("rank") == F.col("mark"))
+    copies = lambda sampled: F.when(F.col("size") > 0, F.col("certain") + F.coalesce(sampled, F.lit(False)).cast("int")).otherwise(0).cast("int")
+    if marks.where("n_taken < n_rank").isEmpty():
+        return placed.withColumn("copies", copies(below | at))
+    # Equal rows at a mark, of which some are taken: they are counted off.
+    partly = F.coalesce(at & (F.col("n_taken") < F.col("n_rank")), F.lit(False))
+    nth = F.row_number().over(Window.partitionBy("_source").orderBy("rank"))
+    some = placed.where(partly).withColumn("copies", copies(nth <= F.col("n_taken")))
+    return placed.where(~partly).withColumn("copies", copies(below | at)).unionByName(some)
+
+
+def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP, bins: int = BINS) -> DataFrame:
+    """doc_id, size, source_size, target, taken, copies: a row for each row of `docs`."""
+    rows = stage(measured(docs), "sizes")
+    placed = with_copies(rows, marked(rows, aims_of(rows, weights, cap), bins), bins)
+    return placed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
+def take(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP, bins: int = BINS) -> DataFrame:
+    """The rows of `docs`, each as often as the mix takes it. Texts stay where they are read."""
+    rows = stage(measured(docs), "sizes")
+    marks = marked(rows, aims_of(rows, weights, cap), bins)
+    discard(rows)
+    placed = with_copies(measured(docs, F.struct(*docs.columns).alias("_document")), marks, bins).where("copies > 0")
+    return placed.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select("_document.*")
 
 
 def op6_mix_sources(spark, sf_dir: str) -> DataFrame:
