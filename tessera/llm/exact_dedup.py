@@ -8,10 +8,12 @@ depends on nothing but the text since the cut before, so equal texts have equal
    and its length. Hashes that stand for more than one such fingerprint get a number beside
    them, so that an identifier always means one chunk. Fingerprints are aggregated within
    tasks first; no text is shuffled.
-2. Another scan turns documents into recipes, their ordered lists of verified identifiers,
-   beside the SHA-256 of the whole text.
-3. Documents are equal when their identifier lists and SHA-256 are. From here on a row is an
-   identifier list, however long the text.
+2. Another scan turns documents into recipes, their ordered lists of verified identifiers.
+3. Documents are equal when their identifier lists are. From here on a row is an identifier
+   list, however long the text. The SHA-256 of the text is a result beside it and decides nothing.
+
+Chunks count as one when both 64-bit hashes and the length agree, which is 128 bits and more; a
+document's number of chunks and all of them must agree on top of that.
 
 Hot groups: the count of a group is aggregated within tasks first, and the join that gives
 members their group reads both sides from written tables, so Spark can split a hot key.
@@ -88,9 +90,11 @@ def exact_dedup(docs: DataFrame, bits: int = 64) -> DataFrame:
     """
     found = stage(recipes(docs, bits), "recipes")
     rank = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("keep_id"), F.col("row").alias("keep_row"))
-    groups = found.groupBy("recipe", "text_sha256").agg(F.count(F.lit(1)).alias("group_size"), F.min(rank).alias("first"))
-    repeated = stage(groups.where("group_size > 1").select("recipe", "text_sha256", "group_size", "first.keep_id", "first.keep_row"), "groups")
-    joined = found.join(repeated, ["text_sha256", "recipe"], "left")
+    # A hash of the list goes first, so that sorts seldom compare the lists themselves.
+    found = found.withColumn("list_hash", F.xxhash64("recipe"))
+    groups = found.groupBy("list_hash", "recipe").agg(F.count(F.lit(1)).alias("group_size"), F.min(rank).alias("first"))
+    repeated = stage(groups.where("group_size > 1").select("list_hash", "recipe", "group_size", "first.keep_id", "first.keep_row"), "groups")
+    joined = found.join(repeated, ["list_hash", "recipe"], "left")
     alone = F.col("group_size").isNull()
     return joined.select(
         "doc_id",
