@@ -34,7 +34,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: lineage ends there, so a lost executor costs a reread."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     _FOLDERS[out] = path
     return out
