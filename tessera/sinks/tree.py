@@ -7,6 +7,7 @@ replaces a link or a read-only file), and deleting what is gone already is no er
 
 from __future__ import annotations
 
+import errno
 import os
 import shutil
 import uuid
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from tessera.operators.mirror import sorted_for_deletion
-from tessera.plans.planner import MirrorPlan, plan_mirror
+from tessera.plans.planner import MirrorError, MirrorPlan, plan_mirror
 from tessera.sources.tree import TREE, read_tree, require_sound
 
 
@@ -52,7 +53,33 @@ def _delete(dst: str):
                 if stale.is_symlink() or not stale.is_dir():
                     stale.unlink()
                 else:
-                    stale.rmdir()
+                    try:
+                        stale.rmdir()
+                    except OSError as e:  # something has come since the listing: it is reported, not deleted
+                        if e.errno != errno.ENOTEMPTY:
+                            raise
+        return iter(())
+
+    return run
+
+
+def _make(dst: str):
+    def run(rows: Iterable[Row]) -> Iterator[None]:
+        for (name,) in rows:
+            Path(dst, name).mkdir(parents=True, exist_ok=True)
+        return iter(())
+
+    return run
+
+
+def _like_source(src: str, dst: str):
+    """Mode and times of directories, which writing and deleting inside them has changed."""
+
+    def run(rows: Iterable[Row]) -> Iterator[None]:
+        for r in rows:
+            source, target = Path(src, r.skill, r.rel_path), Path(dst, r.skill, r.rel_path)
+            if source.is_dir() and target.is_dir():
+                shutil.copystat(source, target)
         return iter(())
 
     return run
@@ -64,18 +91,27 @@ def apply_to_tree(plan: MirrorPlan, src: str, dst: str) -> DataFrame:
     status = spark.createDataFrame(plan.status().collect(), f"`{g}` string, n_copied bigint, n_pruned bigint")
     doomed = plan.stale()  # the copy adds source keys only, so listing the destination later finds the same ones
     Path(dst).mkdir(parents=True, exist_ok=True)
-    for row in status.orderBy(g).toLocalIterator():
-        Path(dst, row[0]).mkdir(parents=True, exist_ok=True)
+    plan.selected.select(g).foreachPartition(_make(dst))
     # Links go first, so that nothing is written or deleted through one.
     plan.dst.entries.where("kind = 'link'").join(plan.selected, g, "left_semi").foreachPartition(_delete(dst))
     scope = plan.src.entries.join(plan.selected, g, "left_semi")
     scope.repartition(g, F.xxhash64("rel_path") % 64).foreachPartition(_copy(src, dst))
     sorted_for_deletion(doomed, plan.layout).foreachPartition(_delete(dst))
+    if left := plan.stale().select(g, "rel_path").limit(5).collect():
+        raise MirrorError(f"came into the destination during the prune; run again: {[tuple(r) for r in left]!r}")
+    folders = scope.where("is_dir").select(g, "rel_path").unionByName(plan.selected.select(g, F.lit("").alias("rel_path")))
+    folders.orderBy(F.col("rel_path").desc()).foreachPartition(_like_source(src, dst))  # children first
     return status
 
 
 def mirror_tree(spark, src: str, dst: str, names: Iterable[str] = (), *, prune_orphans: bool = False) -> DataFrame:
-    """Mirror the groups below `src` into `dst`; the whole request is checked before the first write."""
+    """Mirror the groups below `src` into `dst`; the whole request is checked before the first write.
+
+    A source that isn't a directory is an error, never an empty snapshot: with `prune_orphans`
+    that would empty the destination.
+    """
+    if not Path(src).is_dir():
+        raise MirrorError(f"the source is not a directory: {src}")
     names = list(dict.fromkeys(names))
     source = read_tree(spark, src, names or None)
     target = read_tree(spark, dst, names or None, follow=False)

@@ -144,3 +144,43 @@ def test_cli(spark, roots, capsys):
     assert main([*map(str, roots), "g3"]) == 0 and "g3: 0 copied, 1 pruned" in capsys.readouterr().out
     assert main([*map(str, roots), "nope"]) == 1
     assert main(["/nowhere/at/all", str(roots[1])]) == 1
+
+
+def test_a_missing_source_writes_and_deletes_nothing(spark, roots):
+    src, dst = roots
+    before = tree(dst)
+    for wrong in (src / "typo", src / "stray.txt"):
+        with pytest.raises(MirrorError):
+            mirror_tree(spark, str(wrong), str(dst), prune_orphans=True)
+    assert tree(dst) == before
+
+
+def test_directories_keep_mode_and_time(spark, roots):
+    src, dst = roots
+    for path, mode, at in (("g1/a/b", 0o750, 1_000_000_000), ("g1/a", 0o700, 1_100_000_000), ("g1/empty", 0o711, 1_200_000_000), ("g1", 0o705, 1_300_000_000)):
+        os.chmod(src / path, mode)
+        os.utime(src / path, (at, at))
+    mirror_tree(spark, str(src), str(dst))
+    for path in ("g1", "g1/a", "g1/a/b", "g1/empty"):
+        a, b = (src / path).stat(), (dst / path).stat()
+        assert (a.st_mode, a.st_mtime) == (b.st_mode, b.st_mtime), path
+
+
+def test_what_comes_during_the_prune_is_reported(spark, roots, monkeypatch):
+    from tessera.sinks import tree as sink
+
+    src, dst = roots
+    ordered = sink.sorted_for_deletion
+
+    def meanwhile(doomed, layout):
+        rows = doomed.sparkSession.createDataFrame(ordered(doomed, layout).select("skill", "rel_path").collect())
+        put(dst, **{"g1/old/deep/new": "just now"})
+        return rows.coalesce(1)
+
+    monkeypatch.setattr(sink, "sorted_for_deletion", meanwhile)
+    with pytest.raises(MirrorError, match="run again"):
+        mirror_tree(spark, str(src), str(dst))
+    assert (dst / "g1/old/deep/new").read_text() == "just now"
+    monkeypatch.undo()
+    mirror_tree(spark, str(src), str(dst))
+    assert not (dst / "g1/old").exists()
