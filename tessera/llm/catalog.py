@@ -23,5 +23,7 @@ def queries():
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_exact_dedup": exact_dedup.SQL,
+        "op3_ngram_jaccard_join": ngram_join.SQL,
+        "op5_substring_dedup": substring_dedup.SQL,
         "op6_mix_sources": mixing.SQL,
     }

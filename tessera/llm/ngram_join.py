@@ -575,3 +575,19 @@ def component_ids(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, s
 
 def op3_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return component_ids(documents(spark, sf_dir))
+
+
+SQL = rf"""
+WITH RECURSIVE d AS (
+       SELECT doc_id, row_number() OVER () AS r,
+              regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+       FROM documents),
+     s AS (SELECT DISTINCT r, array_to_string(w[i:i + {WORDS - 1}], ' ') AS g
+           FROM (SELECT r, w, unnest(range(1, greatest(len(w) - {WORDS - 2}, least(len(w), 1) + 1)::BIGINT)) AS i FROM d)),
+     n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+     o AS (SELECT a.r AS x, b.r AS y, count(*) AS shared FROM s a JOIN s b USING (g) WHERE a.r <> b.r GROUP BY a.r, b.r),
+     l AS (SELECT x, y FROM o JOIN n p ON p.r = x JOIN n q ON q.r = y WHERE 100 * shared >= {PERCENT} * (p.n + q.n - shared)),
+     c AS (SELECT r AS x, r AS y FROM d UNION SELECT c.x, l.y FROM c JOIN l ON c.y = l.x),
+     m AS (SELECT c.x AS r, min(doc_id) AS component_id FROM c JOIN d ON d.r = c.y GROUP BY c.x)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id FROM d LEFT JOIN n USING (r) JOIN m USING (r)
+"""

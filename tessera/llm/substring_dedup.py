@@ -135,3 +135,16 @@ def without_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
 def op5_substring_dedup(spark, sf_dir: str) -> DataFrame:
     found = without_repeats(documents(spark, sf_dir))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+SQL = rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+     k AS (SELECT r, i, array_to_string(w[i:i + {WINDOW - 1}], ' ') AS g
+           FROM (SELECT r, w, unnest(range(1, greatest(len(w) - {WINDOW - 2}, 1)::BIGINT)) AS i FROM d)),
+     t AS (SELECT g FROM k GROUP BY g HAVING count(*) > 1),
+     p AS (SELECT DISTINCT r, i + o AS p FROM k JOIN t USING (g), range(0, {WINDOW}) AS x(o)),
+     a AS (SELECT r, list(p) AS gone, count(*) AS n FROM p GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+       sha256(CASE WHEN n IS NULL THEN array_to_string(w, ' ') ELSE coalesce(array_to_string(list_filter(w, lambda x, i: NOT list_contains(gone, i)), ' '), '') END) AS kept_sha256
+FROM d LEFT JOIN a USING (r)
+"""

@@ -122,3 +122,7 @@ def test_components(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {**dict.fromkeys(range(1, 41), 1), **dict.fromkeys(range(100, 140), 100), 200: 200, 201: 200}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_query_equals_sql(spark, compare):
+    assert compare(spark, X.op3_ngram_jaccard_join, X.SQL, "/root/testdata/sf0.01")

@@ -45,3 +45,7 @@ def test_words_that_collide_in_powers_of_two(spark):
     rows = [(1, " ".join([word] * 35)), (2, " ".join([other] * 35)), (3, " ".join(word)), (4, " ".join(other))]
     got = run(spark, rows)
     assert got == brute(rows, 35) and [r[2] for r in got[:2]] == [0, 0]
+
+
+def test_query_equals_sql(spark, compare):
+    assert compare(spark, X.op5_substring_dedup, X.SQL, "/root/testdata/sf0.01")
