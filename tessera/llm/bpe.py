@@ -139,7 +139,7 @@ class PrefixTable:
         self.append(data)
 
     def _fill(self, upto: int) -> None:
-        """Work forwards: every token that starts at i is tried at its end."""
+        """Prefix by prefix: the longest token that ends there and can stand after the one before it is kept."""
         v, data, last = self.v, self.data, self.last
         for end in range(len(last), upto + 1):
             last.append(self._ending(data, end, v, last))
