@@ -11,7 +11,8 @@ first-order Markov models over that alphabet give the log-likelihood ratio of th
 and a run is reported, as kind `random`, when the ratio for each character is at least
 `THRESHOLD` nats and the run doesn't touch a base span. The models are trained from labelled
 samples: random strings are digests made here and the values of base spans; ordinary
-identifiers are the words of `ORDINARY` characters or more outside base spans. Both come from
+identifiers are the words of `ORDINARY` characters or more outside base spans, alone and joined
+with the next one as in identifiers (`JOINTS`). Both come from
 at most `SAMPLE` documents, those with the smallest hash of their doc_id, and a random string
 counts if it has at most `LONGEST` characters; what the driver reads is the table of transitions, whose size is the alphabet's square. Every run of every
 text is then scored with it.
@@ -40,6 +41,38 @@ ASSIGN_LEAST = 6
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 RUN, ORDINARY, THRESHOLD, SAMPLE, MADE, LONGEST = 16, 6, 0.8, 2_000, 2_000, 128
 MICRO = 1_000_000
+#: How identifiers are made of words.
+JOINTS = ("", "_", "-", "/")
+SPAN = "struct<start:int,kind:int,end:int,value:string>"
+
+
+def scanned(items: Column, state: str, begin: Column, emit: str, step) -> Column:
+    """What `step(state, item)`, a struct (state, emit), emits for each item, in order.
+
+    An array that grows by one entry copies itself each time, so entries are gathered in blocks of
+    about the root of their number, and the blocks put together at the end.
+    """
+
+    def blocks(all_items: Column) -> Column:
+        size = F.greatest(F.lit(16), F.ceil(F.sqrt(F.size(all_items))).cast("int"))
+        numbers = F.sequence(F.lit(0), F.floor((F.size(all_items) - 1) / size).cast("int"))
+        return F.transform(numbers, lambda i: F.slice(all_items, i * size + 1, size))
+
+    def gather(acc: Column, x: Column, step, kind: str) -> Column:
+        return let(step(acc["state"], x), lambda r: F.struct(r["state"].alias("state"), F.concat(acc["out"], F.array(r["emit"].cast(kind))).alias("out")))
+
+    def block(at: Column, part: Column) -> Column:
+        inner = F.aggregate(part, empty(at, emit), lambda acc, x: gather(acc, x, step, emit))
+        return let(inner, lambda r: F.struct(r["state"].alias("state"), r["out"].alias("emit")))
+
+    empty = lambda at, kind: F.struct(at.cast(state).alias("state"), F.array().cast(f"array<{kind}>").alias("out"))
+    put = lambda x: F.aggregate(blocks(x), empty(begin, f"array<{emit}>"), lambda acc, part: gather(acc, part, block, f"array<{emit}>"), lambda acc: F.flatten(acc["out"]))
+    return let(items, lambda x: F.when(F.size(x) > 0, put(x)).otherwise(F.array().cast(f"array<{emit}>")))
+
+
+def let(value: Column, body) -> Column:
+    """`body(value)`, with the value computed once however often the body names it."""
+    return F.transform(F.array(value), body)[0]
 
 
 def matches(text: Column, pattern: str, kind: int, value_group: int = 0, least: int = 0) -> Column:
@@ -50,30 +83,41 @@ def matches(text: Column, pattern: str, kind: int, value_group: int = 0, least:
     pieces = F.arrays_zip(F.transform(whole, lambda m: F.length(m)).alias("n"), values.alias("value"), between.alias("gap"))
     # One piece more than matches: what follows the last one.
     pieces = F.filter(pieces, lambda p: p["n"].isNotNull())
-    span = "struct<start:int,kind:int,end:int,value:string>"
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{span}>").alias("spans"))
 
-    def step(acc: Column, p: Column) -> Column:
-        start = acc["at"] + p["gap"]
-        this = F.struct(start.alias("start"), F.lit(kind).alias("kind"), (start + p["n"]).alias("end"), p["value"].alias("value"))
-        return F.struct((start + p["n"]).alias("at"), F.concat(acc["spans"], F.array(this.cast(span))).alias("spans"))
+    def step(at: Column, p: Column) -> Column:
+        start, end = at + p["gap"], at + p["gap"] + p["n"]
+        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), p["value"].alias("value"))
+        return F.struct(end.alias("state"), span.alias("emit"))
 
-    spans = F.aggregate(pieces, begin, step, lambda acc: acc["spans"])
+    spans = scanned(pieces, "int", F.lit(0), SPAN, step)
     if least:
         spans = F.filter(spans, lambda s: F.length(s["value"]) >= least)
-    return F.when(F.regexp_like(text, F.lit(pattern)), spans).otherwise(F.array().cast(f"array<{span}>"))
+    return F.when(F.regexp_like(text, F.lit(pattern)), spans).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def with_base(docs: DataFrame) -> DataFrame:
     """doc_id, text, base: the base spans in order of start, then kind."""
     text = F.col("text")
     found = F.concat(matches(text, ASSIGN, 0, 2, ASSIGN_LEAST), matches(text, ACCESS, 1), matches(text, HEX, 2))
-    return docs.select("doc_id", text_of(docs).alias("text")).withColumn("base", F.array_sort(found))
+    return docs.select("doc_id", text_of(docs).alias("text")).withColumn("base", F.sort_array(found))
 
 
 def outside(spans: Column, base: Column) -> Column:
-    """The spans that touch no base span."""
-    return F.filter(spans, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"])))
+    """The spans that touch no base span, by one pass over both in order.
+
+    At a span's end, the base spans that start before it have been passed; the span touches one
+    of them if the furthest of their ends lies behind its start.
+    """
+    ends = F.transform(spans, lambda s: F.struct(s["end"].alias("at"), F.lit(0).alias("base"), s["start"].alias("other"), s["value"].alias("value"), s["kind"].alias("kind")))
+    starts = F.transform(base, lambda b: F.struct(b["start"].alias("at"), F.lit(1).alias("base"), b["end"].alias("other"), F.lit("").alias("value"), b["kind"].alias("kind")))
+
+    def step(furthest: Column, e: Column) -> Column:
+        free = (e["base"] == 0) & (furthest <= e["other"])
+        span = F.struct(e["other"].alias("start"), e["kind"].alias("kind"), e["at"].alias("end"), e["value"].alias("value"))
+        return F.struct(F.when(e["base"] == 1, F.greatest(furthest, e["other"])).otherwise(furthest).alias("state"), F.when(free, span).alias("emit"))
+
+    free = scanned(F.sort_array(F.concat(ends, starts)), "int", F.lit(0), SPAN, step)
+    return F.when(F.size(base) == 0, spans).otherwise(F.filter(free, lambda s: s.isNotNull()))
 
 
 def pairs(value: Column) -> Column:
@@ -88,12 +132,19 @@ def transitions(strings: DataFrame) -> DataFrame:
     return each.where("pair IS NOT NULL").groupBy("random", "pair").count()
 
 
+def joint(by: str):
+    """Two words as one identifier: in camel case if nothing stands between them."""
+    return (lambda a, b: F.concat(F.initcap(a), F.initcap(b))) if not by else (lambda a, b: F.concat(a, F.lit(by), b))
+
+
 def model(docs: DataFrame, sample: int = SAMPLE) -> list[int]:
     """Weight of each transition, in millionths of a nat, by `pair`."""
     ids = docs.select("doc_id").where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = with_base(docs.join(F.broadcast(ids), "doc_id", "left_semi"))  # at most `sample` ids
     rest = F.regexp_replace("text", "|".join((ASSIGN, ACCESS, HEX)), " ")
-    ordinary = F.regexp_extract_all(rest, F.lit(f"[A-Za-z0-9_-]{{{ORDINARY},}}"), F.lit(0))
+    words = F.regexp_extract_all(rest, F.lit(f"[A-Za-z0-9_-]{{{ORDINARY},}}"), F.lit(0))
+    joined = [F.zip_with(words, F.slice(words, 2, F.size(words)), joint(by)) for by in JOINTS]
+    ordinary = F.filter(F.concat(words, *joined), lambda w: w.isNotNull())
     values = lambda strings, label: rows.select(F.lit(label).alias("random"), F.explode(strings).alias("value"))
     keys = F.filter(F.array_distinct(F.transform("base", lambda b: b["value"])), lambda v: F.length(v) <= LONGEST)
     digest = F.sha2(F.concat(F.lit("sample:"), F.col("id")), 256)
@@ -124,7 +175,7 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD, weights: list[int] | Non
     rows = with_base(docs)
     runs = outside(matches(F.col("text"), f"[{ALPHABET.replace('-', '')}-]{{{RUN},}}", 3), F.col("base"))
     random = F.filter(runs, lambda s: score(s["value"], weights) >= threshold * MICRO)
-    return rows.select("doc_id", "base", F.array_sort(F.concat("base", random)).alias("spans"))
+    return rows.select("doc_id", "base", F.sort_array(F.concat("base", random)).alias("spans"))
 
 
 def written(spans: Column) -> Column:
