@@ -87,6 +87,10 @@ def packed_texts(docs: DataFrame, body: Callable[[bytes], bytes]) -> DataFrame:
     return texts.mapInArrow(compress, f"doc_id {kind}, key bigint, size bigint, body binary")
 
 
+def packed(body: bytes) -> bytes:
+    return pa.Codec(CODEC, compression_level=3).compress(body, asbytes=True)
+
+
 def unpacked(size: int, body: bytes) -> bytes:
     return pa.Codec(CODEC).decompress(body, decompressed_size=size, asbytes=True) if size else b""
 

@@ -34,7 +34,8 @@ from tessera.llm.common import buckets, documents
 from tessera.llm.removal import intervals, keyed, mark_rows, shortened
 
 WINDOW = 35
-#: kind 0: hashes met once in a chunk, with their places; 1: hashes met more often; 2: places already marked.
+#: kind 0: hashes met once in a chunk, with their places; 1: hashes met more often; 2: places already marked;
+#: 3: how many times hashes were met (pos) that a chunk has very often.
 POSTINGS = "bucket int, kind int, hashes binary, ids binary, runs binary, pos binary"
 
 
@@ -49,8 +50,11 @@ def windows(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarra
     return A.window_hashes(words, at, at + size), text, pos
 
 
-def postings(rows: DataFrame, places: Callable, n_buckets: int) -> DataFrame:
-    """Hashes of `rows` (key, text) into buckets; `places(bytes, offsets)` gives hash, text number and position."""
+def postings(rows: DataFrame, places: Callable, n_buckets: int, often: int = 0) -> DataFrame:
+    """Hashes of `rows` (key, text) into buckets; `places(bytes, offsets)` gives hash, text number and position.
+
+    Hashes that a chunk has `often` times or more are also sent with their number, unless it is 0.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, data, offsets in A.text_chunks(batches):
@@ -69,6 +73,11 @@ def postings(rows: DataFrame, places: Callable, n_buckets: int) -> DataFrame:
             several = ranked[twice & ~same[:-1]]
             for b, x, y in A.slices(A.bucket_of(several, n_buckets)):
                 rows.append((b, 1, A.pack56(several[x:y]), None, None, None))
+            if often:
+                times = np.diff(np.flatnonzero(~same))  # of each different hash, in order
+                many = times >= often
+                most, times = ranked[~same[:-1]][many], times[many]
+                rows += [(b, 3, A.pack56(most[x:y]), None, None, A.pack(times[x:y])) for b, x, y in A.slices(A.bucket_of(most, n_buckets))]
             again = np.sort(order[twice])
             rows += [(b, 2, None, *rest) for b, *rest in mark_rows(keys[text[again]], pos[again], n_buckets)]
             yield batch_of(rows, POSTINGS)
@@ -83,9 +92,13 @@ def batch_of(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)], [n for n, _ in fields])
 
 
-def count(found: DataFrame, n_buckets: int) -> DataFrame:
-    """bucket (of the document), ids, runs, pos of the places whose hash is met twice or more."""
-    schema = "bucket int, ids binary, runs binary, pos binary"
+def count(found: DataFrame, n_buckets: int, hot: int = 0) -> DataFrame:
+    """bucket (of the document), ids, runs, pos of the places whose hash is met twice or more.
+
+    With `hot`, there are also columns hash and times: rows with bucket -1 say which hashes were met
+    `hot` times or more, as far as the numbers sent tell.
+    """
+    schema = "bucket int, ids binary, runs binary, pos binary" + (", hash bigint, times bigint" if hot else "")
 
     def run(table: pa.Table) -> pa.Table:
         kind = np.array(table["kind"].to_pylist())
@@ -105,6 +118,14 @@ def count(found: DataFrame, n_buckets: int) -> DataFrame:
             keys = np.concatenate([np.repeat(A.unpack_keys(i), A.unpack(n)) for i, n in zip(column("ids", 0), column("runs", 0), strict=True)])
             pos = np.concatenate([A.unpack(p).astype(np.int64) for p in column("pos", 0)])
             rows += mark_rows(keys[place], pos[place], n_buckets)
+        if hot:
+            numbers = [A.unpack(p).astype(np.int64) for p in column("pos", 3)]
+            hashes = np.concatenate([*once, *several, *map(A.unpack56, column("hashes", 3))] or [np.zeros(0, np.uint64)])
+            one = np.ones(sum(map(len, [*once, *several])), np.int64)
+            met, group = np.unique(hashes, return_inverse=True)
+            times = np.bincount(group, np.concatenate([one, *numbers]), len(met)).astype(np.int64)
+            rows = [(*r, None, None) for r in rows]
+            rows += [(-1, None, None, None, h, n) for h, n in zip(met[times >= hot].astype(np.int64).tolist(), times[times >= hot].tolist(), strict=True)]
         return pa.Table.from_batches([batch_of(rows, schema)])
 
     return found.groupBy("bucket").applyInArrow(run, schema)

@@ -19,11 +19,16 @@ that its windows need: up to SIZE forwards, and those before it that they begin
    it shares with the last winner; of two, the one that shares more is smaller, and only with
    equal lengths are bytes compared, from there on. The merge gives the order and, for free,
    the prefix shared by neighbours, the LCP array of the bucket's part of the suffix array.
+   A core that occurs very often (a common line in many contexts) isn't left to one bucket: its
+   suffixes are sent window by window, each carrying just that window's bytes and dealt by
+   their hash, so that a bucket gets at most one entry of a run for each different window.
 4. Suffixes that share 100 - o bytes forwards, which are runs of the LCP array, and o bytes
    backwards have equal windows at offset o. Of those, all but the earliest are marked.
 5. Marks meet by document, merge into maximal runs, and the texts lose them.
 
-Results are exact up to the 64-bit hash of step 1, which could only add work. Matches don't
+Results are exact up to the 64-bit hash of step 1, which could only add work. Which cores are
+split has no influence on them; the driver reads and tasks get at most `HOT_CORES` hashes of
+cores, those that occur most often, and only of cores met `HOT` times or more. Matches don't
 cross documents. Earlier is by key, the doc_id, then position; rows that repeat one doc_id
 with equal text are the same place, not an earlier one.
 
@@ -36,6 +41,7 @@ bytes: a cut may fall inside a character. An empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -43,12 +49,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import arrays as A
-from tessera.llm.common import buckets, documents
-from tessera.llm.removal import intervals, keyed, mark_rows, packed_texts, positions, shortened, unpacked
+from tessera.llm.common import buckets, documents, stage
+from tessera.llm.removal import intervals, keyed, mark_rows, packed, packed_texts, positions, shortened, unpacked
 from tessera.llm.substring_dedup import batch_of, count, postings
 
 SIZE, CORE = 100, 32
 RUN_BYTES = 16 << 20
+#: Cores met so often are split by window; at most so many of them (8 bytes each).
+HOT, HOT_CORES = 1 << 10, 1 << 20
+#: Suffixes whose windows are held at once.
+APART = 2000
+#: What a posting keeps of a hash.
+LOW56 = np.uint64((1 << 56) - 1)
 MARKS = "bucket int, ids binary, runs binary, pos binary"
 #: kind 0: a front-coded run of suffixes; 1: marks.
 RUNS = "bucket int, kind int, keys binary, runs binary, pos binary, shared binary, lengths binary, tails binary, before binary, first binary"
@@ -113,14 +125,21 @@ def all_anchors(data: np.ndarray, offsets: np.ndarray, size: int, core: int) ->
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
-def repeated_cores(docs: DataFrame, size: int, core: int, n_buckets: int) -> DataFrame:
-    """key, pos: the anchors of each document whose core occurs elsewhere too."""
+def core_hash(hashes: np.ndarray) -> np.ndarray:
+    """The hash by which cores are counted."""
+    return A.mix(hashes + np.uint64(1))
+
+
+def repeated_cores(docs: DataFrame, size: int, core: int, n_buckets: int, hot: int) -> tuple[DataFrame, np.ndarray]:
+    """(key, pos): the anchors of each document whose core occurs elsewhere too; hashes of the hot cores."""
 
     def places(data, offsets):
         text, at, _, _, hashes = all_anchors(data, offsets, size, core)
-        return A.mix(hashes + np.uint64(1)), text, at
+        return core_hash(hashes), text, at
 
-    return positions(count(postings(keyed(docs), places, n_buckets), n_buckets))
+    counted = stage(count(postings(keyed(docs), places, n_buckets, often=max(2, hot >> 6)), n_buckets, hot), "repeated-cores")
+    most = counted.where("bucket < 0").orderBy(F.desc("times"), "hash").limit(HOT_CORES).select("hash").toPandas()
+    return positions(counted.where("bucket >= 0")), np.sort(most["hash"].to_numpy(np.int64).view(np.uint64))
 
 
 def suffixes(raw: bytes, chosen: np.ndarray, size: int, core: int):
@@ -132,7 +151,7 @@ def suffixes(raw: bytes, chosen: np.ndarray, size: int, core: int):
         yield a, p, q, raw[a : q + size], raw[p:a][::-1], h
 
 
-def sorted_runs(rows: DataFrame, size: int, core: int, n_buckets: int) -> DataFrame:
+def sorted_runs(rows: DataFrame, size: int, core: int, n_buckets: int, hot: np.ndarray) -> DataFrame:
     """Front-coded runs by bucket from rows (key, size, body, pos), and the marks of what runs hold twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,28 +161,54 @@ def sorted_runs(rows: DataFrame, size: int, core: int, n_buckets: int) -> DataFr
                 for a, p, q, ahead, before, h in suffixes(unpacked(n, body), A.unpack(pos).astype(np.int64), size, core):
                     held.append((ahead, before, q - a, key, a, p, h))
                     weight += len(ahead) + len(before) + 200
-                if weight > RUN_BYTES:
-                    yield batch_of(encoded(held, n_buckets), RUNS)
-                    held, weight = [], 0
+                    if weight > RUN_BYTES:
+                        yield from (batch_of(rows, RUNS) for rows in encoded(held, n_buckets, size, hot))
+                        held, weight = [], 0
         if held:
-            yield batch_of(encoded(held, n_buckets), RUNS)
+            yield from (batch_of(rows, RUNS) for rows in encoded(held, n_buckets, size, hot))
 
     return rows.mapInArrow(run, RUNS)
 
 
-def encoded(held: list[tuple], n_buckets: int) -> list[tuple]:
+def met_once(held: list[tuple], marked: list[tuple[int, int]]) -> list[tuple]:
+    """In order, one of the suffixes that are equal in all that they carry; the others' windows are marked."""
     held.sort()
-    by_bucket: dict[int, list] = {}
+    out: list[tuple] = []
+    for x in held:
+        # Equal: the later one's windows all start earlier in the first.
+        if out and x[:3] == out[-1][:3]:
+            if x[3:5] != out[-1][3:5]:
+                marked += [(x[3], s) for s in range(x[5], x[4] + x[2] + 1)]
+        else:
+            out.append(x)
+    return out
+
+
+def by_window(suffix: tuple, size: int) -> Iterator[tuple]:
+    """A suffix for each of a suffix's windows, to be dealt by all the window's bytes."""
+    ahead, before, last, key, a, first, _ = suffix
+    for s in range(first, a + last + 1):
+        x, y = ahead[: size - (a - s)], before[: a - s]
+        yield x, y, s - a, key, a, s, int.from_bytes(blake2b(y + x, digest_size=8).digest())
+
+
+def encoded(held: list[tuple], n_buckets: int, size: int, hot: np.ndarray) -> Iterator[list[tuple]]:
+    """The rows of one run, and of further ones of `APART` split suffixes each."""
     marked: list[tuple[int, int]] = []
-    before = None
+    held = met_once(held, marked)
+    split = np.isin(core_hash(np.array([x[6] for x in held], np.uint64)) & LOW56, hot).tolist() if len(hot) else [False] * len(held)
+    yield run_rows([x for x, s in zip(held, split, strict=True) if not s], marked, n_buckets)
+    apart = [x for x, s in zip(held, split, strict=True) if s]
+    for i in range(0, len(apart), APART):
+        marked = []
+        held = met_once([y for x in apart[i : i + APART] for y in by_window(x, size)], marked)
+        yield run_rows(held, marked, n_buckets)
+
+
+def run_rows(held: list[tuple], marked: list[tuple[int, int]], n_buckets: int) -> list[tuple]:
+    by_bucket: dict[int, list] = {}
     where = A.bucket_of(A.mix(np.array([x[6] for x in held], np.uint64) + np.uint64(3)), n_buckets).tolist()
     for x, b in zip(held, where, strict=True):
-        # Equal in all that they carry: the later one's windows all start earlier in the first.
-        if before is not None and x[:3] == before[:3]:
-            if x[3:5] != before[3:5]:
-                marked += [(x[3], s) for s in range(x[5], x[4] + x[2] + 1)]
-            continue
-        before = x
         by_bucket.setdefault(b, []).append(x)
     rows = []
     for b, part in by_bucket.items():
@@ -176,7 +221,7 @@ def encoded(held: list[tuple], n_buckets: int) -> list[tuple]:
         ints = lambda i: A.pack(np.array([x[i] for x in part], np.int64))  # noqa: B023, E731
         rows.append((
             b, 0, A.pack_keys(np.array([x[3] for x in part], np.int64)), A.pack(np.array([len(x[1]) for x in part])), ints(4),
-            A.pack(np.array(shared)), A.pack(np.array([len(t) for t in tails])), b"".join(tails), b"".join(x[1] for x in part), A.pack(np.array([x[2] + len(x[1]) for x in part])),
+            A.pack(np.array(shared)), A.pack(np.array([len(t) for t in tails])), packed(b"".join(tails)), packed(b"".join(x[1] for x in part)), A.pack(np.array([x[2] + len(x[1]) for x in part])),
         ))
     if marked:
         marked.sort()
@@ -264,7 +309,7 @@ def repeats(runs: DataFrame, size: int, core: int, n_buckets: int) -> DataFrame:
             else:
                 parts.append(r)
         if parts:
-            tree = LoserTree([decoded(A.unpack(r["shared"]), A.unpack(r["lengths"]), r["tails"]) for r in parts])
+            tree = LoserTree([decoded(A.unpack(r["shared"]), A.unpack(r["lengths"]), unpacked(int(A.unpack(r["lengths"]).sum(dtype=np.int64)), r["tails"])) for r in parts])
             order, shared, lengths = [], [], []
             for w, s, text in tree:
                 order.append(w)
@@ -315,7 +360,7 @@ def repeats(runs: DataFrame, size: int, core: int, n_buckets: int) -> DataFrame:
     def backwards(parts, order, back):
         """Bytes before each suffix, nearest first, padded to one width."""
         width = int(back.max()) // 8 * 8 + 8
-        flat = [np.frombuffer(r["before"], np.uint8) for r in parts]
+        flat = [np.frombuffer(unpacked(int(A.unpack(r["runs"]).sum(dtype=np.int64)), r["before"]), np.uint8) for r in parts]
         blocks = []
         for r, data in zip(parts, flat, strict=True):
             n = A.unpack(r["runs"]).astype(np.int64)
@@ -337,15 +382,15 @@ def gathered(columns: list[np.ndarray], order: list[int]) -> np.ndarray:
     return out
 
 
-def repeated_bytes(docs: DataFrame, size: int = SIZE, core: int = CORE) -> DataFrame:
+def repeated_bytes(docs: DataFrame, size: int = SIZE, core: int = CORE, hot: int = HOT) -> DataFrame:
     """key, starts, stops: the maximal runs of bytes of each document to be removed."""
     n = buckets(docs)
-    chosen = repeated_cores(docs, size, core, n)
+    chosen, often = repeated_cores(docs, size, core, n, hot)
     texts = packed_texts(docs, bytes).join(chosen, "key").select("key", "size", "body", "pos")
-    return intervals(repeats(sorted_runs(texts, size, core, n), size, core, n), size)
+    return intervals(repeats(sorted_runs(texts, size, core, n, often), size, core, n), size)
 
 
-def without_repeats(docs: DataFrame, size: int = SIZE, core: int = CORE) -> DataFrame:
+def without_repeats(docs: DataFrame, size: int = SIZE, core: int = CORE, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (bytes), starts, stops."""
 
     def cut(raw: bytes, starts, stops):
@@ -357,7 +402,7 @@ def without_repeats(docs: DataFrame, size: int = SIZE, core: int = CORE) -> Data
         return len(raw), len(raw) - len(kept), len(starts), kept, [int(s) for s in starts], [int(e) for e in stops]
 
     columns = "n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, starts array<bigint>, stops array<bigint>"
-    return shortened(docs, repeated_bytes(docs, size, core), bytes, cut, columns)
+    return shortened(docs, repeated_bytes(docs, size, core, hot), bytes, cut, columns)
 
 
 def op10_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:

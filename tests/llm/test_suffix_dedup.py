@@ -29,9 +29,9 @@ def brute(rows, size):
     return sorted(out)
 
 
-def run(spark, rows, size=100, core=32, parts=4):
+def run(spark, rows, size=100, core=32, parts=4, hot=X.HOT):
     df = spark.createDataFrame([(i, t, "x", 1, "y") for i, t in rows], SCHEMA).repartition(parts)
-    got = X.without_repeats(df, size, core).collect()
+    got = X.without_repeats(df, size, core, hot).collect()
     assert all(sum(e - s for s, e in zip(r.starts, r.stops, strict=True)) == r.n_removed for r in got)
     return sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(bytes(r.kept)).hexdigest()) for r in got)
 
@@ -51,6 +51,35 @@ def test_small_alphabets(spark, seed):
     assert run(spark, rows, 12, 12, 1) == brute(rows, 12)
 
 
+@pytest.mark.parametrize("hot", [2, 5])
+def test_split_cores(spark, hot):
+    """The same results however few cores count as hot, whatever repeats."""
+    rng = random.Random(hot)
+    some = ["".join(rng.choice("ab") for _ in range(40)) for _ in range(5)]
+    rows = [(rng.randrange(-500, 500) * 100 + i, "".join(rng.choice([*some, "a" * 30, "é\x00", rng.choice("abc")]) for _ in range(rng.randrange(12)))) for i in range(60)]
+    rows += [(9, "same " * 40), (9, "same " * 40)]
+    assert run(spark, rows, 20, 6, hot=hot) == brute(rows, 20)
+    assert run(spark, rows, 100, 32, hot=hot) == brute(rows, 100)
+
+
+def test_one_line_in_many_contexts(spark):
+    """Its suffixes are dealt to all buckets, and results are right."""
+    rng = random.Random(8)
+    prose = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    line, passage = prose(80), prose(150)
+    rows = [(i, prose(150) + (line if i % 2 else passage) + prose(150)) for i in range(3000)]
+    assert run(spark, rows) == brute(rows, 100)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    found, often = X.repeated_cores(df, 100, 32, 16, X.HOT)
+    assert 1 <= len(often) < 20
+    texts = X.packed_texts(df, bytes).join(found, "key").select("key", "size", "body", "pos")
+    runs = X.sorted_runs(texts, 100, 32, 16, often).where("kind = 0").select("bucket", "pos").collect()
+    sizes = {}
+    for r in runs:
+        sizes[r.bucket] = sizes.get(r.bucket, 0) + len(X.A.unpack(r.pos))
+    assert len(sizes) == 16 and max(sizes.values()) < 1.5 * sum(sizes.values()) / 16
+
+
 def test_edges(spark, monkeypatch):
     long = "".join(random.Random(4).choice("abcdefgh \n") for _ in range(30_000))
     rows = [(1, None), (2, ""), (3, "x" * 99), (4, "x" * 100), (5, "x" * 1000), (6, long), (7, "y" + long[5000:9000] + "é" * 200), (9, "same " * 40), (9, "same " * 40)]
