@@ -88,6 +88,7 @@ TEXTS = {
     "Apache-2.0": APACHE_HEADER,
     "BSD-2-Clause": BSD_GRANT + BSD_DISCLAIMER,
     "BSD-3-Clause": BSD_GRANT + BSD_NAMES + BSD_DISCLAIMER,
+    "GPL": GPL_HEADER.format(n=""),  # no version stated
     "GPL-2.0": GPL_HEADER.format(n=2),
     "GPL-3.0": GPL_HEADER.format(n=3),
     "ISC": ISC,
@@ -95,7 +96,7 @@ TEXTS = {
 }
 NAMES = {
     "AGPL-3.0": ["GNU Affero General Public License, version 3"],
-    "Apache-2.0": ["Apache License, Version 2.0", "Apache 2.0 License"],
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License", "Apache-2.0"],
     "BSD-2-Clause": ["BSD 2-Clause License"],
     "BSD-3-Clause": ["BSD 3-Clause License"],
     "CC-BY-4.0": ["CC BY 4.0", "Creative Commons Attribution 4.0"],
@@ -104,14 +105,18 @@ NAMES = {
     "CC-BY-NC-SA-4.0": ["CC BY-NC-SA 4.0"],
     "CC-BY-ND-4.0": ["CC BY-ND 4.0"],
     "CC-BY-SA-4.0": ["CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0"],
-    "GPL-2.0": ["GNU General Public License, version 2"],
-    "GPL-3.0": ["GNU General Public License, version 3"],
-    "LGPL-3.0": ["GNU Lesser General Public License, version 3"],
+    "CC0-1.0": ["CC0 1.0"],
+    "EPL-2.0": ["Eclipse Public License 2.0"],
+    "GPL-2.0": ["GNU General Public License, version 2", "GPL-2.0", "GPL v2"],
+    "GPL-3.0": ["GNU General Public License, version 3", "GPL-3.0", "GPL v3"],
+    "LGPL-2.1": ["GNU Lesser General Public License, version 2.1", "LGPL-2.1"],
+    "LGPL-3.0": ["GNU Lesser General Public License, version 3", "LGPL-3.0"],
     "MIT": ["MIT License"],
-    "MPL-2.0": ["Mozilla Public License, Version 2.0"],
+    "MPL-2.0": ["Mozilla Public License, Version 2.0", "MPL-2.0"],
+    "Unlicense": ["Unlicense"],
 }
 RIGHTS = {"All-rights-reserved": "All rights reserved"}
-LEADS = ("licensed under", "released under", "distributed under", "available under")
+LEADS = ("licensed under", "released under", "distributed under", "available under", "under the terms of")
 
 #: Each byte of a word as itself, A-Z lower-cased; all others blank.
 WORD_BYTE = np.full(256, 0x20, np.uint8)

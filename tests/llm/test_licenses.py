@@ -115,3 +115,20 @@ def test_rights_lines_and_tags(spark):
     assert lines >= 66
     got = run(spark, [(1, "# SPDX-License-Identifier: MIT\ncode"), (2, "// SPDX-License-Identifier: CC-BY-NC-4.0"), (3, "SPDX-License-Identifier: none")])
     assert [[f[0] for f in got[i]] for i in (1, 2, 3)] == [["MIT"], ["CC-BY-NC-4.0"], []]
+
+
+def test_other_wordings(spark):
+    """Terms of a license, short names, and a header that states no version."""
+    said = {
+        "Released under the terms of the MIT license.": ["MIT"],
+        "distributed under the terms of the GPL v3": ["GPL-3.0"],
+        "licensed under the LGPL-2.1": ["LGPL-2.1"],
+        "Released under the Unlicense": ["Unlicense"],
+        "available under Apache-2.0": ["Apache-2.0"],
+        "SPDX-License-Identifier: CC0-1.0": ["CC0-1.0"],
+        X.GPL_HEADER.format(n=""): ["GPL"],
+        X.GPL_HEADER.format(n=3): ["GPL-3.0"],
+        "under the terms of the agreement": [],
+    }
+    got = run(spark, list(enumerate(said)))
+    assert {t: [f[0] for f in got[i]] for i, t in enumerate(said)} == said
