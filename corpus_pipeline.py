@@ -3,8 +3,9 @@
 Between stages the documents are Parquet in the cluster's shared folder, so an executor that
 is lost costs a reread; a folder goes when the stage after it has been written. Texts are moved
 as little as can be: mixing decides about a document where it is read, and the other stages join
-with the doc_ids that go, a table of one column, which Spark broadcasts where it is small. Only where a doc_id stands for several rows, or is missing, the SHA-256 of
-the text tells rows apart; no row is named by a short hash that isn't checked.
+with the doc_ids that go, a table of one column, which Spark broadcasts where it is small. Only
+where a doc_id stands for several rows, or is missing, the SHA-256 of the text tells rows apart;
+no row is named by a short hash that isn't checked.
 
 Defined results: null texts count as empty (and fail the quality rules). One doc_id can stand for
 several texts, and rows without a doc_id are judged by their text alone. Of rows that repeat in
