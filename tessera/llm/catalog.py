@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import bpe, exact_dedup, licenses, mixing, ngram_join, quality, secrets, substring_dedup, suffix_dedup, token_counts
+from tessera.llm import bpe, exact_dedup, licenses, mixing, ngram_join, pieces, quality, secrets, substring_dedup, suffix_dedup, token_counts
 
 
 def queries():
@@ -17,6 +17,7 @@ def queries():
         "op8_license_scan": licenses.op8_license_scan,
         "op9_secret_scan": secrets.op9_secret_scan,
         "op10_suffix_array_dedup": suffix_dedup.op10_suffix_array_dedup,
+        "op11_sentencepiece": pieces.op11_sentencepiece,
     }
 
 
