@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import bpe, exact_dedup, licenses, mixing, ngram_join, pieces, quality, secrets, substring_dedup, suffix_dedup, token_counts, vectors
+from tessera.llm import bpe, conversations, exact_dedup, licenses, mixing, ngram_join, pieces, quality, secrets, substring_dedup, suffix_dedup, token_counts, vectors
 
 
 def queries():
@@ -18,6 +18,7 @@ def queries():
         "op9_secret_scan": secrets.op9_secret_scan,
         "op10_suffix_array_dedup": suffix_dedup.op10_suffix_array_dedup,
         "op11_sentencepiece": pieces.op11_sentencepiece,
+        "op12_conversation_trie": conversations.op12_conversation_trie,
         "op13_vector_codes": vectors.op13_vector_codes,
     }
 
@@ -28,5 +29,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_ngram_jaccard_join": ngram_join.SQL,
         "op5_substring_dedup": substring_dedup.SQL,
         "op6_mix_sources": mixing.SQL,
+        "op12_conversation_trie": conversations.SQL,
         "op13_vector_codes": vectors.SQL,
     }
