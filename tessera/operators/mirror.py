@@ -13,7 +13,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from tessera.operators.numbering import numbered
+from tessera.staging import Scratch
 
 
 @dataclass(frozen=True)
@@ -91,22 +93,14 @@ def _delete_key(layout: Layout) -> list[Column]:
     return [F.split(F.col(k), "/").desc() if layout.path_keys else F.col(k).desc() for k in layout.keys]
 
 
-def prune_order(stale: DataFrame, layout: Layout) -> DataFrame:
-    """Stale keys numbered in the order of deletion within their group."""
-    w = Window.partitionBy(layout.group).orderBy(*_delete_key(layout))
-    return stale.withColumn("rn", F.row_number().over(w).cast("bigint"))
+def prune_order(stale: DataFrame, layout: Layout, scratch: Scratch | None = None) -> DataFrame:
+    """Stale keys numbered in the order of deletion within their group, however many tasks a group takes."""
+    return numbered(stale, [layout.group], _delete_key(layout), scratch or Scratch(stale.sparkSession, "prune-order"))
 
 
 def sorted_for_deletion(stale: DataFrame, layout: Layout) -> DataFrame:
-    """Partitions hold whole subtrees in deletion order.
-
-    The first path component is dealt with the group, so that one huge group spreads over
-    many tasks while a parent and its children still meet in one.
-    """
-    by = [F.col(layout.group)]
-    if layout.path_keys:
-        by.append(F.split(F.col(layout.keys[0]), "/")[0])
-    return stale.repartition(*by).sortWithinPartitions(layout.group, *_delete_key(layout))
+    """Stale keys dealt evenly by key; each partition in deletion order, so that neighbours share their folders."""
+    return stale.repartition(*layout.on).sortWithinPartitions(layout.group, *_delete_key(layout))
 
 
 def action_plan(src: Snapshot, dst: Snapshot, selected: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ class MirrorPlan:
     src: M.Snapshot
     dst: M.Snapshot
     selected: DataFrame
+    names: tuple[str, ...] = ()
 
     @property
     def layout(self) -> M.Layout:
@@ -67,7 +68,7 @@ def plan_mirror(
             raise MirrorError(f"no such group in the source: {sorted(absent)!r}")
     else:
         selected = src.groups.unionByName(dst.groups).distinct() if prune_orphans else src.groups
-    plan = MirrorPlan(src, dst, selected)
+    plan = MirrorPlan(src, dst, selected, tuple(names))
     if check:
         scope = M.select_groups(src, selected)
         if rows := M.duplicate_keys(scope).limit(5).collect():

@@ -1,123 +1,182 @@
 """Apply a plan to a file tree that all executors share.
 
-The copy phase ends before the first deletion. Every step may run twice without harm, since
-Spark may retry a task: files are written beside their place and renamed over it (which also
-replaces a link or a read-only file), and deleting what is gone already is no error.
+One run: list the source and the destination once, check the whole request, copy with a commit,
+list the destination again, and delete what the source's listing lacks. Every step may run twice
+without harm, since Spark may retry a task: files are written beside their place and renamed over
+it, and deleting what is gone already is no error. Nothing is written, deleted or changed through a
+link, also not one that appears meanwhile: every place below the root is reached by handles.
+
+Deletion goes by depth, deepest first, since a folder must be empty before it goes. Each depth is a
+stage of its own whose rows are dealt evenly, so one deep tree spreads over all tasks.
 """
 
 from __future__ import annotations
 
-import errno
+import json
 import os
 import shutil
 import uuid
+from collections import Counter
 from collections.abc import Iterable, Iterator
-from contextlib import suppress
 from pathlib import Path
 
-from pyspark.sql import DataFrame, Row
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.mirror import sorted_for_deletion
+from tessera.operators.mirror import Snapshot, sorted_for_deletion, stale_entries
 from tessera.plans.planner import MirrorError, MirrorPlan, plan_mirror
-from tessera.sources.tree import TREE, read_tree, require_sound
-
-
-def _copy(src: str, dst: str):
-    def run(rows: Iterable[Row]) -> Iterator[None]:
-        for r in rows:
-            source, target = Path(src, r.skill, r.rel_path), Path(dst, r.skill, r.rel_path)
-            if r.is_dir:
-                if target.is_symlink():
-                    target.unlink()
-                target.mkdir(parents=True, exist_ok=True)
-                continue
-            target.parent.mkdir(parents=True, exist_ok=True)
-            beside = target.with_name(f".{uuid.uuid4().hex}.part")
-            try:
-                shutil.copy2(source, beside)
-                os.replace(beside, target)
-            finally:
-                with suppress(FileNotFoundError):
-                    beside.unlink()
-        return iter(())
+from tessera.sinks.confined import Confined, components
+from tessera.sinks.writer import MANIFEST, PARTS, RECEIPTS
+from tessera.sources.inventory import Inventory, take_inventory
+from tessera.sources.tree import TREE, register, require_sound
+from tessera.sources.walk import WORK
+from tessera.staging import Scratch
 
-    return run
+REMOVED = "skill string, n_pruned bigint, left string"
+
+
+def depth(path: Column) -> Column:
+    return F.size(F.split(path, "/"))
 
 
 def _delete(dst: str):
-    def run(rows: Iterable[Row]) -> Iterator[None]:
-        for r in rows:
-            stale = Path(dst, r.skill, r.rel_path)
-            with suppress(FileNotFoundError):
-                if stale.is_symlink() or not stale.is_dir():
-                    stale.unlink()
-                else:
-                    try:
-                        stale.rmdir()
-                    except OSError as e:  # something has come since the listing: it is reported, not deleted
-                        if e.errno != errno.ENOTEMPTY:
-                            raise
-        return iter(())
+    """Rows (skill, rel_path) to what was removed by group, and a row for each folder that wasn't empty."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        removed: Counter[str] = Counter()
+        left: list[tuple[str, str]] = []
+        with Confined(dst) as target:
+            for batch in batches:
+                for group, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    if target.delete(components(group, path)):
+                        removed[group] += 1
+                    else:  # something has come since the listing: it is reported, not deleted
+                        left.append((group, path))
+        rows = [(g, n, None) for g, n in removed.items()] + [(g, 0, path) for g, path in left]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.string()), strict=True)], ["skill", "n_pruned", "left"])
+
+    return run
+
+
+def delete_by_depth(doomed: DataFrame, dst: str, scratch: Scratch) -> DataFrame:
+    """Delete `doomed` (skill, rel_path), one stage for each depth; skill, n_pruned, left as staged rows of the tasks."""
+    doomed = scratch.stage(doomed.select("skill", "rel_path", depth(F.col("rel_path")).alias("depth")), "doomed")
+    done = doomed.limit(0).select("skill", F.lit(0).cast("bigint").alias("n_pruned"), F.lit("").alias("left"))
+    for level in range(doomed.agg(F.max("depth")).first()[0] or 0, 0, -1):
+        wave = doomed.where(F.col("depth") == level).select("skill", "rel_path")
+        done = done.unionByName(scratch.stage(wave.repartition("skill", "rel_path").mapInArrow(_delete(dst), REMOVED), f"removed-{level}"))
+    return done
+
+
+def _unlink(dst: str):
+    """Links go before anything is written, folders take the place of those that were groups."""
+
+    def run(rows: Iterable) -> None:
+        with Confined(dst) as target:
+            for r in rows:
+                target.delete(components(r.skill, r.rel_path))
 
     return run
 
 
 def _make(dst: str):
-    def run(rows: Iterable[Row]) -> Iterator[None]:
-        for (name,) in rows:
-            Path(dst, name).mkdir(parents=True, exist_ok=True)
-        return iter(())
+    def run(rows: Iterable) -> None:
+        with Confined(dst) as target:
+            for (name,) in rows:
+                target.make_folder(components(name, ""))
 
     return run
 
 
 def _like_source(src: str, dst: str):
-    """Mode and times of directories, which writing and deleting inside them has changed."""
+    """Mode and times of folders, which writing and deleting inside them has changed."""
 
-    def run(rows: Iterable[Row]) -> Iterator[None]:
-        for r in rows:
-            source, target = Path(src, r.skill, r.rel_path), Path(dst, r.skill, r.rel_path)
-            if source.is_dir() and target.is_dir():
-                shutil.copystat(source, target)
-        return iter(())
+    def run(rows: Iterable) -> None:
+        with Confined(dst) as target:
+            for r in rows:
+                way = components(r.skill, r.rel_path)
+                source = Path(src, *way)
+                if source.is_dir():
+                    target.like(way, source.stat())
 
     return run
 
 
-def apply_to_tree(plan: MirrorPlan, src: str, dst: str) -> DataFrame:
-    """Copy, then delete children before parents; return the status rows."""
-    spark, g = plan.src.entries.sparkSession, plan.layout.group
-    status = spark.createDataFrame(plan.status().collect(), f"`{g}` string, n_copied bigint, n_pruned bigint")
-    doomed = plan.stale()  # the copy adds source keys only, so listing the destination later finds the same ones
+def copy_entries(entries: DataFrame, src: str, dst: str, run: str) -> DataFrame:
+    """Write `entries` of the tree `src` into `dst`; skill, n_copied as the tasks that counted have reported."""
+    rows = entries.select("skill", "rel_path", "is_dir")
+    dealt = rows.repartition("skill", F.xxhash64("rel_path") % 64)
+    dealt.write.format("tessera_tree").options(path=dst, source=src, run=run).mode("append").save()
+    manifest = Path(dst, run, MANIFEST)
+    if not manifest.exists():
+        raise MirrorError("the copy has no commit: nothing is deleted")
+    receipts = [f"file:{Path(dst, run, name).absolute()}" for name in json.loads(manifest.read_text())["receipts"]]  # one for each task
+    spark = entries.sparkSession
+    return spark.read.schema("skill string, n_copied bigint").parquet(*receipts) if receipts else spark.createDataFrame([], "skill string, n_copied bigint")
+
+
+def apply_to_tree(plan: MirrorPlan, src: str, dst: str, scratch: Scratch, target: Inventory | None = None) -> DataFrame:
+    """Copy, list the destination again, delete; what was done for each selected group."""
+    spark, run = plan.src.entries.sparkSession, f"{WORK}{uuid.uuid4().hex}"
     Path(dst).mkdir(parents=True, exist_ok=True)
-    plan.selected.select(g).foreachPartition(_make(dst))
-    # Links go first, so that nothing is written or deleted through one.
-    plan.dst.entries.where("kind = 'link'").join(plan.selected, g, "left_semi").foreachPartition(_delete(dst))
-    scope = plan.src.entries.join(plan.selected, g, "left_semi")
-    scope.repartition(g, F.xxhash64("rel_path") % 64).foreachPartition(_copy(src, dst))
-    sorted_for_deletion(doomed, plan.layout).foreachPartition(_delete(dst))
-    if left := plan.stale().select(g, "rel_path").limit(5).collect():
-        raise MirrorError(f"came into the destination during the prune; run again: {[tuple(r) for r in left]!r}")
-    folders = scope.where("is_dir").select(g, "rel_path").unionByName(plan.selected.select(g, F.lit("").alias("rel_path")))
-    folders.orderBy(F.col("rel_path").desc()).foreachPartition(_like_source(src, dst))  # children first
-    return status
-
-
-def mirror_tree(spark, src: str, dst: str, names: Iterable[str] = (), *, prune_orphans: bool = False) -> DataFrame:
+    dst = os.path.realpath(dst)
+    for name in (PARTS, RECEIPTS):
+        Path(dst, run, name).mkdir(parents=True)
+    try:
+        links = plan.dst.entries.where("kind = 'link'").select("skill", "rel_path")
+        if target:
+            links = links.unionByName(target.blocked().where("kind = 'link'").select("skill", F.lit("").alias("rel_path")))
+        links.join(plan.selected, "skill", "left_semi").foreachPartition(_unlink(dst))
+        plan.selected.select("skill").foreachPartition(_make(dst))
+        scope = plan.src.entries.join(plan.selected, "skill", "left_semi")
+        copied = scratch.stage(copy_entries(scope, src, dst, run), "copied")
+        after = take_inventory(spark, dst, plan_names(plan), scratch, follow=False, name="after")
+        stale = stale_entries(plan.src, after.snapshot, plan.selected)
+        removed = delete_by_depth(sorted_for_deletion(stale, plan.layout), dst, scratch)
+        folders = scope.where("is_dir").select("skill", "rel_path").unionByName(plan.selected.select("skill", F.lit("").alias("rel_path")))
+        folders = scratch.stage(folders.withColumn("depth", F.when(F.col("rel_path") == "", 0).otherwise(depth(F.col("rel_path")))), "folders")
+        for level in range(folders.agg(F.max("depth")).first()[0] or 0, -1, -1):  # a folder may shut its children off
+            folders.where(F.col("depth") == level).repartition("skill", "rel_path").foreachPartition(_like_source(src, dst))
+        if left := removed.where("left IS NOT NULL").select("skill", "left").limit(5).collect():
+            raise MirrorError(f"came into the destination during the prune; run again: {[tuple(r) for r in left]!r}")
+        return Scratch(spark, "mirror-status").stage(status_of(plan.selected, copied, removed), "status")
+    finally:
+        shutil.rmtree(os.path.join(dst, run), ignore_errors=True)
+
+
+def status_of(selected: DataFrame, copied: DataFrame, removed: DataFrame) -> DataFrame:
+    """skill, n_copied, n_pruned: what the tasks did, groups without anything to do included."""
+    no = F.lit(0).cast("bigint")
+    counts = selected.select("skill", no.alias("n_copied"), no.alias("n_pruned"))
+    counts = counts.unionByName(copied.select("skill", "n_copied", no.alias("n_pruned"))).unionByName(removed.select("skill", no.alias("n_copied"), "n_pruned"))
+    return counts.groupBy("skill").agg(F.sum("n_copied").alias("n_copied"), F.sum("n_pruned").alias("n_pruned"))
+
+
+def plan_names(plan: MirrorPlan) -> list[str] | None:
+    """The names of a request; None for a run over all groups, whose names stay a relation."""
+    return list(plan.names) or None
+
+
+def mirror_tree(spark: SparkSession, src: str, dst: str, names: Iterable[str] = (), *, prune_orphans: bool = False) -> DataFrame:
     """Mirror the groups below `src` into `dst`; the whole request is checked before the first write.
 
     A source that isn't a directory is an error, never an empty snapshot: with `prune_orphans`
-    that would empty the destination.
+    that would empty the destination. The result, a table in the shared folder, says what was done.
     """
     if not Path(src).is_dir():
         raise MirrorError(f"the source is not a directory: {src}")
+    register(spark)
     names = list(dict.fromkeys(names))
-    source = read_tree(spark, src, names or None)
-    target = read_tree(spark, dst, names or None, follow=False)
-    plan = plan_mirror(source, target, names, prune_orphans=prune_orphans)
-    require_sound(source.entries)
-    return apply_to_tree(plan, src, dst)
+    with Scratch(spark, "mirror") as scratch:
+        source = take_inventory(spark, src, names or None, scratch, name="source").snapshot
+        target = take_inventory(spark, dst, names or None, scratch, follow=False, name="target")
+        plan = plan_mirror(source, target.snapshot, names, prune_orphans=prune_orphans)
+        require_sound(source.entries)
+        if rows := target.blocked().where("kind = 'file'").join(plan.selected, "skill", "left_semi").limit(5).collect():
+            raise MirrorError(f"a file is in the place of a group's folder: {[r.skill for r in rows]!r}")
+        return apply_to_tree(plan, os.path.realpath(src), dst, scratch, target)
 
 
-__all__ = ["TREE", "apply_to_tree", "mirror_tree"]
+__all__ = ["TREE", "Snapshot", "apply_to_tree", "mirror_tree"]
