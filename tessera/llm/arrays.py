@@ -60,27 +60,39 @@ def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-#: For each of the first 64 places of a word and each byte there, a random-looking value.
-PLACES = 64
-BYTE_AT = mix(np.arange(1, PLACES * 256 + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
+#: Words over `PLACES` bytes aren't remembered, others up to about `REMEMBERED` bytes in a worker.
+PLACES, REMEMBERED = 64, 48 << 20
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Tabulation hash of each word data[start:end]; BLAKE2 for words over `PLACES` bytes. Words are in order and apart.
+class _Words:
+    """The first eight bytes of the BLAKE2 digest of words, remembered for those met lately."""
 
-    Unlike a polynomial modulo 2**64, it has no words that collide whatever the base.
-    """
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    # The place of each byte in its word, modulo PLACES; a byte's arithmetic is enough for that.
-    begin = np.repeat(starts.astype(np.uint8), np.diff(starts, append=len(data)))
-    place = np.arange(starts[0], len(data)).astype(np.uint8) - begin & np.uint8(PLACES - 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.bitwise_xor.accumulate(BYTE_AT[place.astype(np.uint16) << np.uint16(8) | data[starts[0] :]], out=sums[starts[0] + 1 :])
-    hashes = mix(sums[ends] ^ sums[starts])
-    for i in np.flatnonzero(ends - starts > PLACES).tolist():
-        hashes[i] = int.from_bytes(blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
-    return hashes
+    def __init__(self):
+        self.known: dict[bytes, int] = {}
+        self.size = 0
+
+    def get(self, words: list[bytes]) -> np.ndarray:
+        new = set(words).difference(self.known)
+        self.size += 180 * len(new)
+        if self.size > REMEMBERED:
+            new, self.known = set(words), {}
+            self.size = 180 * len(new)
+        found = self.known
+        found.update((w, int.from_bytes(blake2b(w, digest_size=8).digest(), "little")) for w in new)
+        out = np.fromiter(map(found.__getitem__, words), np.uint64, len(words))
+        for w in new:
+            if len(w) > PLACES:
+                del found[w]
+        return out
+
+
+WORDS = _Words()
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A value for each word data[start:end] that only equal words share: no words are known that collide."""
+    raw = data.tobytes()
+    return WORDS.get([raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
 
 
 #: Moduli and bases of the window hashes: primes below 2**31, so that products fit 64 bits.

@@ -4,17 +4,14 @@ Each text, white space normalised, is cut where its content says so: at the firs
 end after `MIN_CHUNK` characters, or at `MAX_CHUNK` characters where there is none. A cut
 depends on nothing but the text since the cut before, so equal texts have equal chunks.
 
-1. A chunk has a 64-bit hash, and for its verification another 64-bit hash of its own seed
-   and its length. Hashes that stand for more than one such fingerprint get a number beside
-   them, so that an identifier always means one chunk. Fingerprints are aggregated within
-   tasks first; no text is shuffled.
+1. A chunk has a 64-bit hash, and its SHA-256 for the verification. Hashes that stand for more than
+   one SHA-256 get a number beside them, one for each, so that an identifier means one chunk as far as
+   SHA-256 tells chunks apart, however many collisions of the short hash are made on purpose. Both are
+   aggregated within tasks first; no text is shuffled.
 2. Another scan turns documents into recipes, their ordered lists of verified identifiers.
 3. Documents are equal when their identifier lists are. From here on a row is an identifier
    list, however long the text. The SHA-256 of the text is a result beside it and decides nothing.
 
-Chunks count as one when both 64-bit hashes and the length agree, which is 128 bits and more; a
-document's number of chunks and all of them must agree on top of that.
-
 Hot groups: the count of a group is aggregated within tasks first, and the join that gives
 members their group reads both sides from written tables, so Spark can split a hot key.
 
@@ -29,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import SPACE, documents, stage, text_of
+from tessera.llm.common import SPACE, discard, documents, stage, text_of
 
 MIN_CHUNK, MAX_CHUNK = 512, 4096
 #: A chunk: up to a sentence end, or the longest allowed, or what is left.
@@ -45,24 +42,30 @@ def chunks_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(CHUNK), F.lit(0))
 
 
+def short_hash(chunk: Column, bits: int) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(chunk), 64 - bits)
+
+
+#: The SHA-256 of a chunk as four numbers, which Spark aggregates without sorting.
+CHECK = ["c0", "c1", "c2", "c3"]
+
+
 def identified(chunk: Column, bits: int) -> Column:
-    """hash and fingerprint (check, n) of a chunk."""
-    return F.struct(
-        F.shiftrightunsigned(F.xxhash64(chunk), 64 - bits).alias("hash"),
-        F.xxhash64(F.lit(1), chunk).alias("check"),
-        F.length(chunk).alias("n"),
-    )
+    """hash of a chunk, and its SHA-256 as CHECK."""
+    sha = F.sha2(chunk, 256)
+    return F.struct(short_hash(chunk, bits).alias("hash"), *(F.conv(F.substring(sha, 16 * i + 1, 16), 16, -10).cast("bigint").alias(c) for i, c in enumerate(CHECK)))
 
 
 def collisions(docs: DataFrame, bits: int = 64) -> DataFrame:
-    """hash, check, n, variant: the chunks whose hash stands for more than one."""
+    """hash, CHECK, variant: the chunks whose hash stands for more than one."""
     chunks = docs.select(F.explode(chunks_of(normalised(text_of(docs)))).alias("chunk")).select(identified(F.col("chunk"), bits).alias("c")).select("c.*")
-    spans = chunks.groupBy("hash").agg(F.min("check").alias("a"), F.max("check").alias("b"), F.min("n").alias("c"), F.max("n").alias("d"))
-    shared = stage(spans.where("a <> b or c <> d").select("hash"), "chunk-collisions")
+    spans = chunks.groupBy("hash").agg(*(f(c).alias(f"{f.__name__}_{c}") for c in CHECK for f in (F.min, F.max)))
+    shared = stage(spans.where(" OR ".join(f"min_{c} <> max_{c}" for c in CHECK)).select("hash"), "chunk-collisions")
     if shared.isEmpty():
-        return shared.selectExpr("hash", "0L as check", "0 as n", "0 as variant")
-    several = chunks.join(shared, "hash", "left_semi").distinct().groupBy("hash").agg(F.array_sort(F.collect_list(F.struct("check", "n"))).alias("kinds"))
-    return stage(several.select("hash", F.posexplode("kinds").alias("variant", "k")).select("hash", "k.check", "k.n", "variant"), "chunk-variants")
+        discard(shared)
+        return docs.sparkSession.createDataFrame([], ", ".join(f"{c} bigint" for c in ("hash", *CHECK)) + ", variant int")
+    several = chunks.join(shared, "hash", "left_semi").distinct().groupBy("hash").agg(F.array_sort(F.collect_list(F.struct(*CHECK))).alias("kinds"))
+    return stage(several.select("hash", F.posexplode("kinds").alias("variant", "k")).select("hash", "k.*", "variant"), "chunk-variants")
 
 
 def recipes(docs: DataFrame, bits: int = 64) -> DataFrame:
@@ -70,13 +73,12 @@ def recipes(docs: DataFrame, bits: int = 64) -> DataFrame:
     doubtful = collisions(docs, bits)
     text = normalised(text_of(docs))
     cut = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text.alias("text"))
-    chunk = F.transform(chunks_of(F.col("text")), lambda c: identified(c, bits))
-    rows = cut.select("row", "doc_id", F.sha2("text", 256).alias("text_sha256"), chunk.alias("chunks"))
+    with_chunks = lambda f: cut.select("row", "doc_id", F.sha2("text", 256).alias("text_sha256"), F.transform(chunks_of(F.col("text")), f).alias("chunks"))
     if doubtful.isEmpty():
-        hashes = F.transform("chunks", lambda c: F.struct(c["hash"].alias("hash"), F.lit(0).alias("variant")))
-        return rows.select("row", "doc_id", "text_sha256", hashes.alias("recipe"))
-    rows = stage(rows, "chunk-lists")
-    pieces = rows.select("row", F.posexplode("chunks").alias("at", "c")).select("row", "at", "c.*").join(doubtful, ["hash", "check", "n"], "left")
+        rows = with_chunks(lambda c: F.struct(short_hash(c, bits).alias("hash"), F.lit(0).alias("variant")))
+        return rows.withColumnRenamed("chunks", "recipe")
+    rows = stage(with_chunks(lambda c: identified(c, bits)), "chunk-lists")
+    pieces = rows.select("row", F.posexplode("chunks").alias("at", "c")).select("row", "at", "c.*").join(doubtful, ["hash", *CHECK], "left")
     lists = pieces.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("at", "hash", F.coalesce("variant", F.lit(0)).alias("variant")))).alias("p"))
     recipe = F.transform("p", lambda p: F.struct(p["hash"].alias("hash"), p["variant"].alias("variant")))
     none = F.array().cast("array<struct<hash:bigint,variant:int>>")

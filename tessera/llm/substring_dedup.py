@@ -8,11 +8,11 @@
 3. Marked places meet by document, merge into maximal intervals of words, and are removed.
 
 Windows count as equal when their Rabin-Karp hashes modulo two primes are, 62 bits of which the
-bucket and seven bytes keep 60 or more; words are hashed by tables, not by powers, so no pair of
-words or windows collides whatever the base. Two different windows are taken for equal with a
-chance of about 1e-18, which at 1e13 windows means a few million wrong words in 1e13; a check of
-the words themselves would move all texts once more and isn't made. Windows are judged on the
-input, not on what is left of it.
+bucket and seven bytes keep 60 or more. Words enter these as eight bytes of their BLAKE2 digest, so
+words can't be written to have one value. Two different windows are taken for equal with a chance of
+about 1e-18, which at 1e13 windows means a few million wrong words in 1e13; a check of the words
+themselves would move all texts once more and isn't made. Windows are judged on the input, not on
+what is left of it.
 
 Defined results: a null text counts as empty; it, and any text with fewer words than a window,
 loses nothing. Rows that repeat are documents of their own, so their windows repeat. doc_id is

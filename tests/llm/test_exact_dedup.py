@@ -31,6 +31,18 @@ def test_against_brute_force(spark, bits):
     assert sum(r.kept for r in got) == len({t for *_, t in brute(ROWS)}) and not any(r.kept for r in got if r.doc_id is None)
 
 
+#: Two texts with one value in two seeded 64-bit hashes and one length.
+ALIKE = ["u_R{J3u<xxxxxxxxxxxxxxxxxxxxxxxx#~##~~#~xxxxxxxxxxxxxxxxxxxxxxxx", "0CZDf`W9xxxxxxxxxxxxxxxxxxxxxxxxX4oPVTydxxxxxxxxxxxxxxxxxxxxxxxx"]
+
+
+def test_chunks_with_one_hash_are_told_apart_by_content(spark):
+    rows = [(1, ALIKE[0]), (2, ALIKE[1]), (3, ALIKE[0]), (4, ALIKE[1] + " "), (5, "other")]
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], SCHEMA)
+    assert df.where("doc_id < 3").selectExpr("xxhash64(text) AS a", "xxhash64(1, text) AS b").distinct().count() == 1
+    got = sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in X.exact_dedup(df).collect())
+    assert got == [(1, 1, 2, True), (2, 2, 1, True), (3, 1, 2, False), (4, 4, 1, True), (5, 5, 1, True)]
+
+
 def test_repeated_rows_leave_one(spark):
     df = spark.createDataFrame([(1, "a", "x", 1)] * 3, SCHEMA)
     got = X.exact_dedup(df).collect()

@@ -92,6 +92,16 @@ def test_words_that_collide_in_powers_of_two(spark):
     assert got == brute(rows) and [r[2] for r in got][:4] == [1, 2, 3, 4]
 
 
+#: Two words with one value in the tabulation hash that was used before.
+ALIKE = ["hrlpstprgprmeuqxvcybyitmzmzolbpinunmlsskatwwrswgsjcucznannbtbwki", "srlpsairwrruheqaycsbyixmzxzedbgiyjqslnhvatwwssuusjppcznaynbybsri"]
+
+
+def test_words_that_collided_in_tables(spark):
+    rows = [(1, " ".join([ALIKE[0]] * 5)), (2, " ".join([ALIKE[1]] * 5))]
+    got = run(spark, rows)
+    assert got == brute(rows) and [r[2] for r in got] == [1, 2]
+
+
 def test_a_group_just_below_the_threshold_emits_no_pairs():
     """Members near to a leader, none near to another member: what is looked at together doesn't grow with the square."""
     rng, made = random.Random(3), []

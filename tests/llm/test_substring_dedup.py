@@ -47,5 +47,29 @@ def test_words_that_collide_in_powers_of_two(spark):
     assert got == brute(rows, 35) and [r[2] for r in got[:2]] == [0, 0]
 
 
+#: Two words with one value in the tabulation hash that was used before.
+ALIKE = ["hrlpstprgprmeuqxvcybyitmzmzolbpinunmlsskatwwrswgsjcucznannbtbwki", "srlpsairwrruheqaycsbyixmzxzedbgiyjqslnhvatwwssuusjppcznaynbybsri"]
+
+
+def test_words_that_collided_in_tables(spark):
+    head = " ".join(f"w{i}" for i in range(34))
+    rows = [(1, f"{head} {ALIKE[0]}"), (2, f"{head} {ALIKE[1]}")]
+    got = run(spark, rows)
+    assert got == brute(rows, 35) and [r[2] for r in got] == [0, 0]
+
+
+def test_remembered_words_are_bounded(monkeypatch):
+    import numpy as np
+
+    from tessera.llm import arrays as A
+
+    monkeypatch.setattr(A, "REMEMBERED", 180 * 50)
+    words, fresh = A._Words(), lambda w: int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
+    for k in range(40):
+        some = [f"{k} {i}".encode() for i in range(20)] + [b"x" * (60 + i) for i in range(10)]
+        assert words.get(some).tolist() == [fresh(w) for w in some] and len(words.known) <= 50 and max(map(len, words.known)) <= A.PLACES
+    assert words.get([]).dtype == np.uint64
+
+
 def test_query_equals_sql(spark, compare):
     assert compare(spark, X.op5_substring_dedup, X.SQL, "/root/testdata/sf0.01")
