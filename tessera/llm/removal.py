@@ -7,6 +7,7 @@ maximal intervals there, and joined with the texts, which travel compressed and
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -14,15 +15,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import arrays as A
-from tessera.llm.common import text_of
+from tessera.llm.common import discard, stage, text_of
 
 MARKS = "bucket int, kind int, ids binary, runs binary, pos binary"
 CODEC = "zstd"
 
 
 def key_of(docs: DataFrame) -> Column:
-    """The doc_id; a null one is replaced by a hash of the text."""
-    return F.coalesce(docs["doc_id"].cast("bigint"), F.xxhash64(text_of(docs)))
+    """The doc_id; a null one is replaced by a number of its text that no doc_id is, and that no other text has.
+
+    Which number that is depends on the rows alone, so every call for them gives the same.
+    """
+    ids, text = docs["doc_id"].cast("bigint"), text_of(docs)
+    without = docs.where(ids.isNull())
+    if without.isEmpty():
+        return ids
+    for seed in count():
+        name = F.xxhash64(F.lit(seed), text)
+        names = stage(without.select(name.alias("name"), F.sha2(text, 256).alias("digest")).distinct(), "names")
+        taken = docs.where(ids.isNotNull()).select(ids.alias("name")).join(names, "name", "left_semi")
+        free = taken.isEmpty() and names.groupBy("name").count().where("count > 1").isEmpty()
+        discard(names)
+        if free:
+            return F.coalesce(ids, name)
+    raise AssertionError
 
 
 def keyed(docs: DataFrame) -> DataFrame:

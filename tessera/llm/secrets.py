@@ -28,7 +28,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import documents, text_of
+from tessera.llm.common import discard, documents, stage, text_of
 
 KINDS = ("assign", "access", "hex", "random")
 _EITHER = lambda word: "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
@@ -127,32 +127,52 @@ def pairs(value: Column) -> Column:
 
 
 def transitions(strings: DataFrame) -> DataFrame:
-    """random, pair, count; the last character of a string has no pair."""
-    each = strings.where(F.length("value") > 1).select("random", F.explode(pairs(F.col("value"))).alias("pair"))
-    return each.where("pair IS NOT NULL").groupBy("random", "pair").count()
+    """pair, count of strings (value, n); the last character of a string has no pair."""
+    each = strings.where(F.length("value") > 1).select("n", F.explode(pairs(F.col("value"))).alias("pair"))
+    return each.where("pair IS NOT NULL").groupBy("pair").agg(F.sum("n").alias("count"))
 
 
-def joint(by: str):
-    """Two words as one identifier: in camel case if nothing stands between them."""
-    return (lambda a, b: F.concat(F.initcap(a), F.initcap(b))) if not by else (lambda a, b: F.concat(a, F.lit(by), b))
+def ordinary_strings(words: DataFrame) -> DataFrame:
+    """Strings (value, n) that have the transitions of all words (word, next), alone and joined with the next by each of JOINTS.
+
+    A word joined by a character keeps its own transitions and adds one before or after it, and in
+    camel case each word is capitalised and one transition stands between the two. So each distinct
+    word is taken once, by how often it stands alone and joined, and what is between by its two characters.
+    """
+    met = words.groupBy("word", "next").agg(F.count(F.lit(1)).alias("n"))
+    joined = met.where("next IS NOT NULL")
+    zero = F.lit(0).cast("bigint")
+    ends = joined.select("word", zero.alias("alone"), F.col("n").alias("joined")).unionByName(joined.select(F.col("next").alias("word"), zero.alias("alone"), F.col("n").alias("joined")))
+    of_word = met.select("word", F.col("n").alias("alone"), zero.alias("joined")).unionByName(ends).groupBy("word").agg(F.sum("alone").alias("alone"), F.sum("joined").alias("joined"))
+    joints = [j for j in JOINTS if j]
+    first, last = lambda c: F.substring(c, 1, 1), lambda c: F.substring(c, -1, 1)
+    between = joined.groupBy(last(F.col("word")).alias("a"), first(F.col("next")).alias("b"), last(F.initcap("word")).alias("x"), first(F.initcap("next")).alias("y")).agg(F.sum("n").alias("n"))
+    strings = of_word.select(F.explode(F.array(F.struct(F.col("word").alias("value"), (F.col("alone") + len(joints) * F.col("joined")).alias("n")), F.struct(F.initcap("word").alias("value"), F.col("joined").alias("n")))).alias("s"))
+    around = [F.concat("x", "y"), *(F.concat("a", F.lit(j)) for j in joints), *(F.concat(F.lit(j), "b") for j in joints)]
+    return strings.select("s.value", "s.n").where("n > 0").unionByName(between.select(F.explode(F.array(*around)).alias("value"), "n"))
 
 
 def model(docs: DataFrame, sample: int = SAMPLE) -> list[int]:
     """Weight of each transition, in millionths of a nat, by `pair`."""
     ids = docs.select("doc_id").where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = with_base(docs.join(F.broadcast(ids), "doc_id", "left_semi"))  # at most `sample` ids
+    chosen = docs.join(F.broadcast(ids), "doc_id", "left_semi").select("doc_id", "text")  # at most `sample` ids
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = with_base(chosen.repartition(tasks, F.xxhash64("doc_id", "text")))
     rest = F.regexp_replace("text", "|".join((ASSIGN, ACCESS, HEX)), " ")
     words = F.regexp_extract_all(rest, F.lit(f"[A-Za-z0-9_-]{{{ORDINARY},}}"), F.lit(0))
-    joined = [F.zip_with(words, F.slice(words, 2, F.size(words)), joint(by)) for by in JOINTS]
-    ordinary = F.filter(F.concat(words, *joined), lambda w: w.isNotNull())
-    values = lambda strings, label: rows.select(F.lit(label).alias("random"), F.explode(strings).alias("value"))
     keys = F.filter(F.array_distinct(F.transform("base", lambda b: b["value"])), lambda v: F.length(v) <= LONGEST)
+    each = let(words, lambda w: F.arrays_zip(w.alias("word"), F.slice(w, 2, F.size(w)).alias("next")))
+    found = stage(rows.select(each.alias("words"), keys.alias("keys")), "sample-strings")  # each text is looked through once
+    ordinary = transitions(ordinary_strings(found.select(F.explode("words").alias("w")).select("w.word", "w.next")))
     digest = F.sha2(F.concat(F.lit("sample:"), F.col("id")), 256)
-    made = docs.sparkSession.range(MADE).select(F.lit(True).alias("random"), F.explode(F.array(digest, F.upper(digest), F.base64(F.unhex(digest)), F.base64(F.unhex(F.sha1(digest))))).alias("value"))
+    made = docs.sparkSession.range(MADE).select(F.explode(F.array(digest, F.upper(digest), F.base64(F.unhex(digest)), F.base64(F.unhex(F.sha1(digest))))).alias("value"))
+    random = transitions(found.select(F.explode("keys").alias("value")).unionByName(made).groupBy("value").agg(F.count(F.lit(1)).alias("n")))
+    both = ordinary.withColumn("random", F.lit(False)).unionByName(random.withColumn("random", F.lit(True)))
     size = len(ALPHABET) + 1
     counts = {True: [0] * size**2, False: [0] * size**2}
-    for r in transitions(values(ordinary, False).unionByName(values(keys, True)).unionByName(made)).collect():  # size ** 2 rows of each label at most
+    for r in both.collect():  # size ** 2 rows of each label at most
         counts[r["random"]][r["pair"]] = r["count"]
+    discard(found)
     rates = {}
     for label, n in counts.items():
         rows_of = [n[i * size : (i + 1) * size] for i in range(size)]

@@ -67,3 +67,22 @@ def test_one_of_each_group_of_near_copies_stays(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = sorted(((r.doc_id, r.text[0]) for r in X.one_of_near_copies(spark, docs, D).collect()), key=str)
     assert got == [(3, "y"), (5, "x"), (None, "z")]
+
+
+def test_texts_that_only_their_content_tells_apart_both_stay(spark):
+    from test_exact_dedup import ALIKE
+
+    docs = spark.createDataFrame([(1, ALIKE[0], "x"), (2, ALIKE[1], "y"), (3, ALIKE[0] + "\n", "z"), (4, ALIKE[0], "w")], "doc_id bigint, text string, _kept string")
+    assert sorted(r.doc_id for r in X.one_of_equals(spark, docs, D).collect()) == [1, 2, 3]
+
+
+def test_run_leaves_no_folder_but_the_last_stage(spark):
+    import os
+
+    from tessera.staging import shared_folder
+
+    folder = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    found = X.run(spark, D)
+    assert {f.rpartition("-")[0] for f in set(os.listdir(folder)) - before} == {"mixing-sources"}
+    assert found.count() > 0 and found.columns == ["doc_id", "n_tokens", "ids", "decoded_sha256"]

@@ -109,3 +109,19 @@ def test_hard_negatives(spark):
     false = sum(r * n for r, n in named.values())
     caught = recall * found["secret"][1]
     assert recall > 0.9 and caught / (caught + false) > 0.9
+
+
+def test_transitions_of_joined_words(spark):
+    """Each distinct word weighed once has the transitions of all words alone and joined with the next."""
+    from collections import Counter
+
+    lists = [["password", "another_one", "Third-word"], ["password", "another_one"], ["single-"], ["_under_", "password", "password"]]
+    strings = [w for words in lists for w in words]
+    for words in lists:
+        for a, b in zip(words, words[1:], strict=False):
+            strings += [a[0].upper() + a[1:].lower() + b[0].upper() + b[1:].lower(), *(a + j + b for j in X.JOINTS if j)]
+    place = lambda c: X.ALPHABET.find(c) + 1
+    want = Counter(place(a) * (len(X.ALPHABET) + 1) + place(b) for s in strings for a, b in zip(s, s[1:], strict=False))
+    pairs = [(w, words[i + 1] if i + 1 < len(words) else None) for words in lists for i, w in enumerate(words)]
+    found = X.transitions(X.ordinary_strings(spark.createDataFrame(pairs, "word string, next string"))).collect()
+    assert {r["pair"]: r["count"] for r in found} == want

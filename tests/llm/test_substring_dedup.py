@@ -71,5 +71,15 @@ def test_remembered_words_are_bounded(monkeypatch):
     assert words.get([]).dtype == np.uint64
 
 
+def test_a_missing_id_is_no_other_rows_id(spark):
+    """A doc_id that is the hash of a text without one: neither row loses what the other does."""
+    text, whole = "a b c d e f g a b c d e f g", " ".join(f"w{i}" for i in range(40))
+    df = spark.createDataFrame([(text,)], "t string")
+    for seed in (0, 1):
+        taken = df.selectExpr(f"xxhash64({seed}, t)", "xxhash64(t)").first()
+        rows = [(None, text), (taken[0], whole), (taken[1], whole + " x"), (None, "other " + whole)]
+        assert run(spark, rows[:3], 5) == brute(rows[:3], 5) and run(spark, rows, 5) == brute(rows, 5)
+
+
 def test_query_equals_sql(spark, compare):
     assert compare(spark, X.op5_substring_dedup, X.SQL, "/root/testdata/sf0.01")
