@@ -1,7 +1,7 @@
 """A corpus from raw documents, stage by stage; each stage reads what the one before it wrote.
 
 Between stages the documents are Parquet in the cluster's shared folder, so an executor that
-is lost costs a reread; a folder goes when the stage after it has been written. Texts are moved
+is lost costs a reread; a folder goes when the stage after it has been written, and what a stage decides by goes with it. Texts are moved
 as little as can be: mixing decides about a document where it is read, and the other stages join
 with the doc_ids that go, a table of one column, which Spark broadcasts where it is small. Only
 where a doc_id stands for several rows, or is missing, the SHA-256 of the text tells rows apart;
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.bpe import encode
-from tessera.llm.common import discard, documents, stage, text_of
+from tessera.llm.common import discard, documents, only, stage, text_of
 from tessera.llm.exact_dedup import exact_dedup, normalised
 from tessera.llm.mixing import take
 from tessera.llm.ngram_join import component_ids
@@ -119,8 +119,11 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for name, step in STAGES[:-1]:
-        before, docs = docs, stage(step(spark, docs, sf_dir), name.replace(" ", "-"))
-        discard(before)
+        written: list[DataFrame] = []
+        with only(but=written):  # what a stage decides by goes when its documents are written
+            written.append(stage(step(spark, docs, sf_dir), name.replace(" ", "-")))
+        discard(docs)
+        docs = written[0]
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
