@@ -7,15 +7,22 @@ in the source but is empty (src13), and rows to insert, overwrite and delete.
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import mirror as M
 from tessera.plans.planner import plan_mirror, request
+from tessera.sinks.table import mirror_table, read_table, table_snapshot
+from tessera.sinks.tree import mirror_tree, write_tree
+from tessera.sources.tree import read_tree
+from tessera.staging import shared_folder
 
 LAYOUT = M.Layout(group="source", keys=("doc_id",))
+TABLE = "doc_id bigint, payload bigint, source string"
 
 VIEWS = """
 WITH grp AS (SELECT DISTINCT source FROM documents WHERE source <> 'src7'),
@@ -57,6 +64,42 @@ def _unlabelled(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{d}/documents.parquet").select("doc_id").join(labels, "doc_id", "left_anti")
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _table(spark: SparkSession, d: str) -> str:
+    """The destination as a table, mirrored with all checks on; its path."""
+    src, dst = snapshots(spark, d)
+    path = _scratch(spark, "table")
+    dst.entries.write.partitionBy("source").parquet(path)
+    mirror_table(src, path, TABLE)
+    return path
+
+
+def _table_groups(spark: SparkSession, d: str) -> DataFrame:
+    table = table_snapshot(spark, _table(spark, d), TABLE, LAYOUT)
+    counts = table.entries.groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"))
+    return M.ordered_groups(table).join(counts, "source", "left").fillna(0, ["n_rows"])
+
+
+def _files(docs: DataFrame, text: Column) -> DataFrame:
+    """A file for each document, in one of ten folders of its group."""
+    path = F.format_string("d%d/%d.txt", F.col("doc_id") % 10, F.col("doc_id"))
+    return docs.select(F.col("source").alias("skill"), path.alias("rel_path"), F.lit(False).alias("is_dir"), F.encode(text, "UTF-8").alias("content"))
+
+
+def _tree(spark: SparkSession, d: str) -> DataFrame:
+    """Both snapshots as trees of files that hold the whole texts, mirrored; what the destination's tree has then."""
+    docs, part = spark.read.parquet(f"{d}/documents.parquet"), F.expr("(doc_id div 20) % 10")
+    root = re.sub("^file:/*", "/", _scratch(spark, "trees"))
+    text = F.coalesce("text", F.lit(""))
+    write_tree(_files(docs.where(~F.col("source").isin("src7", "src13") & (part != 3)), text), f"{root}/src", ["src13"])
+    write_tree(_files(docs.where((F.col("source") != "src5") & (part != 4)), F.when(part == 6, F.concat(text, F.lit("!"))).otherwise(text)), f"{root}/dst")
+    mirror_tree(spark, f"{root}/src", f"{root}/dst")
+    return read_tree(spark, f"{root}/dst", content=True, follow=False).entries.select("skill", "rel_path", "is_dir", F.sha2("content", 256).alias("sha256"))
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, tuple[Query, str]] = {
     "list_groups": (lambda s, d: M.ordered_groups(snapshots(s, d)[0]), VIEWS + "SELECT source FROM grp"),
@@ -100,6 +143,27 @@ WHERE NOT EXISTS (SELECT 1 FROM src s WHERE s.source = d.source AND s.doc_id = d
 UNION ALL SELECT * FROM dst WHERE source NOT IN ('src1','src13')""",
     ),
     "mirror_root": (lambda s, d: _planned(s, d, prune_orphans=True).result(), VIEWS + "SELECT * FROM src"),
+    "mirror_table": (
+        lambda s, d: read_table(s, _table(s, d), TABLE),
+        VIEWS + "SELECT * FROM src UNION ALL SELECT * FROM dst WHERE source NOT IN (SELECT source FROM grp)",
+    ),
+    "table_groups": (
+        _table_groups,
+        VIEWS
+        + """SELECT g.source, count(r.source) AS n_rows FROM (SELECT source FROM grp UNION SELECT source FROM dst) g
+LEFT JOIN (SELECT source FROM src UNION ALL SELECT source FROM dst WHERE source NOT IN (SELECT source FROM grp)) r ON r.source = g.source
+GROUP BY g.source""",
+    ),
+    "mirror_tree": (
+        _tree,
+        """
+WITH f AS (SELECT source AS skill, doc_id % 10 AS folder, doc_id, coalesce(text, '') AS text FROM documents
+           WHERE source NOT IN ('src7','src13') AND (doc_id // 20) % 10 <> 3
+           UNION ALL SELECT source, doc_id % 10, doc_id, CASE WHEN (doc_id // 20) % 10 = 6 THEN coalesce(text, '') || '!' ELSE coalesce(text, '') END
+           FROM documents WHERE source = 'src7' AND (doc_id // 20) % 10 <> 4)
+SELECT skill, 'd' || folder || '/' || doc_id || '.txt' AS rel_path, false AS is_dir, sha256(text) AS sha256 FROM f
+UNION ALL SELECT DISTINCT skill, 'd' || folder, true, NULL FROM f""",
+    ),
     "status_report": (
         lambda s, d: _planned(s, d).status(),
         VIEWS

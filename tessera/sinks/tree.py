@@ -105,25 +105,46 @@ def _like_source(src: str, dst: str):
 
 
 def copy_entries(entries: DataFrame, src: str, dst: str, run: str) -> DataFrame:
-    """Write `entries` of the tree `src` into `dst`; skill, n_copied as the tasks that counted have reported."""
+    """Write `entries` of the tree `src` into `dst`; skill, n_copied."""
     rows = entries.select("skill", "rel_path", "is_dir")
-    dealt = rows.repartition("skill", F.xxhash64("rel_path") % 64)
-    dealt.write.format("tessera_tree").options(path=dst, source=src, run=run).mode("append").save()
+    return committed(rows.repartition("skill", F.xxhash64("rel_path") % 64), dst, run, src)
+
+
+def committed(rows: DataFrame, dst: str, run: str, source: str | None = None) -> DataFrame:
+    """Write rows (skill, rel_path, is_dir, and content or a source tree) into `dst`; skill, n_copied as the tasks that counted have reported."""
+    rows.write.format("tessera_tree").options(path=dst, run=run, **({"source": source} if source else {})).mode("append").save()
     manifest = Path(dst, run, MANIFEST)
     if not manifest.exists():
         raise MirrorError("the copy has no commit: nothing is deleted")
     receipts = [f"file:{Path(dst, run, name).absolute()}" for name in json.loads(manifest.read_text())["receipts"]]  # one for each task
-    spark = entries.sparkSession
+    spark = rows.sparkSession
     return spark.read.schema("skill string, n_copied bigint").parquet(*receipts) if receipts else spark.createDataFrame([], "skill string, n_copied bigint")
 
 
-def apply_to_tree(plan: MirrorPlan, src: str, dst: str, scratch: Scratch, target: Inventory | None = None) -> DataFrame:
-    """Copy, list the destination again, delete; what was done for each selected group."""
-    spark, run = plan.src.entries.sparkSession, f"{WORK}{uuid.uuid4().hex}"
+def begun(dst: str) -> tuple[str, str]:
+    """The target's root, made if missing, and the name of a new run's folder in it."""
     Path(dst).mkdir(parents=True, exist_ok=True)
-    dst = os.path.realpath(dst)
+    dst, run = os.path.realpath(dst), f"{WORK}{uuid.uuid4().hex}"
     for name in (PARTS, RECEIPTS):
         Path(dst, run, name).mkdir(parents=True)
+    return dst, run
+
+
+def write_tree(rows: DataFrame, dst: str, groups: Iterable[str] = ()) -> None:
+    """Write rows (skill, rel_path, is_dir, content, optionally mode and mtime) as a tree; `groups` exist even if they hold nothing."""
+    register(rows.sparkSession)
+    dst, run = begun(dst)
+    try:
+        committed(rows, dst, run)
+        _make(dst)((g,) for g in groups)
+    finally:
+        shutil.rmtree(os.path.join(dst, run), ignore_errors=True)
+
+
+def apply_to_tree(plan: MirrorPlan, src: str, dst: str, scratch: Scratch, target: Inventory | None = None) -> DataFrame:
+    """Copy, list the destination again, delete; what was done for each selected group."""
+    spark = plan.src.entries.sparkSession
+    dst, run = begun(dst)
     try:
         links = plan.dst.entries.where("kind = 'link'").select("skill", "rel_path")
         if target:
