@@ -57,6 +57,8 @@ from tessera.llm.common import buckets, discard, documents, stage, text_of
 from tessera.llm.components import components
 
 WORDS, PERCENT, MU, BEST, MOST, MORE = 5, 75, 0.02, 4, 64, 16
+#: The open classes are worked out again when there are links of one in so many of them.
+RENEW = 50
 #: kind 0: (hash, class) postings; 1: documents with their classes and the classes' other sums.
 POSTINGS = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("hashes", pa.binary()), ("ids", pa.binary()), ("runs", pa.binary()), ("sizes", pa.binary()), ("docs", pa.binary())])
 #: kind 0: a class with its shared hashes; 1: as above.
@@ -239,7 +241,9 @@ def verified(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
             keep = np.flatnonzero(100 * overlap >= percent * (size - overlap))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep)), batch.column(1).take(pa.array(keep)), pa.array(overlap[keep])], ["a", "b", "overlap"])
 
-    side = lambda x: found.select(F.col("class").alias(x), F.col("n").alias(f"n_{x}"), F.col("hashes").alias(f"h_{x}"))
+    # Only classes that are in a pair are dealt; few pairs are sent to the classes instead.
+    named = lambda x: found.join(pairs.select(F.col(x).alias("class")).distinct(), "class", "left_semi")
+    side = lambda x: named(x).select(F.col("class").alias(x), F.col("n").alias(f"n_{x}"), F.col("hashes").alias(f"h_{x}"))
     both = pairs.select("a", "b").join(side("b"), "b").join(side("a"), "a")
     return both.select("a", "b", "n_a", "n_b", "h_a", "h_b").mapInArrow(probe, "a bigint, b bigint, overlap bigint")
 
@@ -546,11 +550,13 @@ def similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, seed: i
         new = verified(pairs, classes, percent).select("a", "b")
         new = stage(new.unionByName(vote_links(open_classes)) if changed else new, "links")
         searched, tried = tried is not None, pairs if tried is None else tried.unionByName(pairs)
-        if changed := not new.isEmpty():
+        if linked := new.count():
             links.append(new)
             roots.append(joined_roots(new, classes))
             classes = follow(classes, roots[-1])
-        elif searched and pairs.isEmpty():
+        # After few links the open classes stay as they were: some candidates are in one component by now, none is missed.
+        changed = linked * RENEW >= open_classes.count()
+        if not linked and searched and pairs.isEmpty():
             break
     discard(open_classes)
     return classes_of(found), links, roots
