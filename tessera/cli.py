@@ -1,4 +1,4 @@
-"""python -m tessera.cli SOURCE DESTINATION [GROUP ...] [--prune-orphans]"""
+"""python -m tessera.cli SOURCE DESTINATION [GROUP ...] [--prune-orphans] [--journal FOLDER]"""
 
 from __future__ import annotations
 
@@ -17,12 +17,13 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("destination")
     p.add_argument("groups", nargs="*")
     p.add_argument("--prune-orphans", action="store_true")
+    p.add_argument("--journal", help="a folder by which a run that broke off goes on")
     a = p.parse_args(argv)
     if not Path(a.source).is_dir():
         print(f"the source is not a directory: {a.source}", file=sys.stderr)
         return 1
     try:
-        status = mirror_tree(local_session(), a.source, a.destination, a.groups, prune_orphans=a.prune_orphans)
+        status = mirror_tree(local_session(), a.source, a.destination, a.groups, prune_orphans=a.prune_orphans, journal=a.journal)
     except MirrorError as e:
         print(e, file=sys.stderr)
         return 1

@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.paths import components
 from tessera.operators.numbering import numbered
 from tessera.staging import Scratch
 
@@ -90,7 +91,7 @@ def mirrored(src: Snapshot, dst: Snapshot, selected: DataFrame) -> DataFrame:
 
 def _delete_key(layout: Layout) -> list[Column]:
     """Descending order; paths go component by component, so children come before parents."""
-    return [F.split(F.col(k), "/").desc() if layout.path_keys else F.col(k).desc() for k in layout.keys]
+    return [components(F.col(k)).desc() if layout.path_keys else F.col(k).desc() for k in layout.keys]
 
 
 def prune_order(stale: DataFrame, layout: Layout, scratch: Scratch | None = None) -> DataFrame:

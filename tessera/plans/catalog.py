@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions import paths
 from tessera.operators import mirror as M
 from tessera.plans.planner import plan_mirror, request
 from tessera.sinks.table import mirror_table, read_table, table_snapshot
@@ -85,7 +86,7 @@ def _table_groups(spark: SparkSession, d: str) -> DataFrame:
 
 def _files(docs: DataFrame, text: Column) -> DataFrame:
     """A file for each document, in one of ten folders of its group."""
-    path = F.format_string("d%d/%d.txt", F.col("doc_id") % 10, F.col("doc_id"))
+    path = paths.join(F.format_string("d%d", F.col("doc_id") % 10), F.format_string("%d.txt", F.col("doc_id")))
     return docs.select(F.col("source").alias("skill"), path.alias("rel_path"), F.lit(False).alias("is_dir"), F.encode(text, "UTF-8").alias("content"))
 
 

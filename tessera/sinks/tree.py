@@ -18,26 +18,32 @@ import shutil
 import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from dataclasses import replace
+from functools import reduce
 from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions import paths
 from tessera.operators.mirror import Snapshot, sorted_for_deletion, stale_entries
 from tessera.plans.planner import MirrorError, MirrorPlan, plan_mirror
 from tessera.sinks.confined import Confined, components
+from tessera.sinks.journal import Journal
 from tessera.sinks.writer import MANIFEST, PARTS, RECEIPTS
 from tessera.sources.inventory import Inventory, take_inventory
 from tessera.sources.tree import TREE, register, require_sound
 from tessera.sources.walk import WORK
 from tessera.staging import Scratch
 
+#: Entries on both sides, about, of the groups that a run with a journal works through at once.
+BATCH = 1_000_000
 REMOVED = "skill string, n_pruned bigint, left string"
 
 
 def depth(path: Column) -> Column:
-    return F.size(F.split(path, "/"))
+    return F.size(paths.components(path))
 
 
 def _delete(dst: str):
@@ -153,7 +159,7 @@ def apply_to_tree(plan: MirrorPlan, src: str, dst: str, scratch: Scratch, target
         plan.selected.select("skill").foreachPartition(_make(dst))
         scope = plan.src.entries.join(plan.selected, "skill", "left_semi")
         copied = scratch.stage(copy_entries(scope, src, dst, run), "copied")
-        after = take_inventory(spark, dst, plan_names(plan), scratch, follow=False, name="after")
+        after = take_inventory(spark, dst, None, scratch, follow=False, name="after", groups=plan.selected)
         stale = stale_entries(plan.src, after.snapshot, plan.selected)
         removed = delete_by_depth(sorted_for_deletion(stale, plan.layout), dst, scratch)
         folders = scope.where("is_dir").select("skill", "rel_path").unionByName(plan.selected.select("skill", F.lit("").alias("rel_path")))
@@ -175,29 +181,41 @@ def status_of(selected: DataFrame, copied: DataFrame, removed: DataFrame) -> Dat
     return counts.groupBy("skill").agg(F.sum("n_copied").alias("n_copied"), F.sum("n_pruned").alias("n_pruned"))
 
 
-def plan_names(plan: MirrorPlan) -> list[str] | None:
-    """The names of a request; None for a run over all groups, whose names stay a relation."""
-    return list(plan.names) or None
-
-
-def mirror_tree(spark: SparkSession, src: str, dst: str, names: Iterable[str] = (), *, prune_orphans: bool = False) -> DataFrame:
+def mirror_tree(spark: SparkSession, src: str, dst: str, names: Iterable[str] = (), *, prune_orphans: bool = False, journal: str | None = None, batch_entries: int = BATCH) -> DataFrame:
     """Mirror the groups below `src` into `dst`; the whole request is checked before the first write.
 
     A source that isn't a directory is an error, never an empty snapshot: with `prune_orphans`
     that would empty the destination. The result, a table in the shared folder, says what was done.
+    With `journal`, a folder, the groups are worked through in batches of about `batch_entries`, and
+    a run that broke off goes on where it was when it is started again.
     """
     if not Path(src).is_dir():
         raise MirrorError(f"the source is not a directory: {src}")
     register(spark)
-    names = list(dict.fromkeys(names))
+    names, src, dst = list(dict.fromkeys(names)), os.path.realpath(src), os.path.realpath(dst)
     with Scratch(spark, "mirror") as scratch:
-        source = take_inventory(spark, src, names or None, scratch, name="source").snapshot
-        target = take_inventory(spark, dst, names or None, scratch, follow=False, name="target")
-        plan = plan_mirror(source, target.snapshot, names, prune_orphans=prune_orphans)
-        require_sound(source.entries)
+        take = lambda: (
+            take_inventory(spark, src, names or None, scratch, name="source"),
+            take_inventory(spark, dst, names or None, scratch, follow=False, name="target"),
+        )
+        log = Journal(spark, journal, {"src": src, "dst": dst, "names": names, "prune_orphans": prune_orphans, "batch_entries": batch_entries}) if journal else None
+        source, target = log.begin(take) if log else take()
+        plan = plan_mirror(source.snapshot, target.snapshot, names, prune_orphans=prune_orphans)
+        require_sound(plan.src.entries)
         if rows := target.blocked().where("kind = 'file'").join(plan.selected, "skill", "left_semi").limit(5).collect():
             raise MirrorError(f"a file is in the place of a group's folder: {[r.skill for r in rows]!r}")
-        return apply_to_tree(plan, os.path.realpath(src), dst, scratch, target)
+        if log is None:
+            return apply_to_tree(plan, src, dst, scratch, target)
+        batches = 1 + (plan.src.entries.count() + plan.dst.entries.count()) // batch_entries
+        done = []
+        for i in range(batches):
+            if (status := log.finished(i)) is None:
+                some = plan.selected.where(F.pmod(F.xxhash64("skill"), F.lit(batches)) == i)
+                status = log.finish(i, apply_to_tree(replace(plan, selected=some), src, dst, scratch, target))
+            done.append(status)
+        out = Scratch(spark, "mirror-status").stage(reduce(DataFrame.unionByName, done), "status")
+        log.close()
+        return out
 
 
 __all__ = ["TREE", "Snapshot", "apply_to_tree", "mirror_tree"]

@@ -72,12 +72,21 @@ def _round(root: str, names: list[str] | None, follow: bool, budget: int):
     return lambda batches: _batches(found(batches))
 
 
-def take_inventory(spark: SparkSession, root: str, names: list[str] | None, scratch: Scratch, *, follow: bool = True, budget: int = BUDGET, name: str = "inventory") -> Inventory:
-    """List the named groups below `root`, or all; a destination is listed with `follow=False`."""
-    frontier = spark.createDataFrame([(None, "")], "skill string, rel_path string")
-    rounds, parts = [], 1
-    while parts:
-        dealt = frontier.repartition(parts) if rounds else frontier.coalesce(1)
+def inventory_of(rows: DataFrame) -> Inventory:
+    groups = rows.where("rel_path = '' AND kind IN ('group', 'link')").select("skill")
+    entries = rows.where("kind NOT IN ('open', 'listed', 'group') AND rel_path <> ''").drop("task", "round")
+    return Inventory(rows, Snapshot(entries, groups, TREE))
+
+
+def take_inventory(spark: SparkSession, root: str, names: list[str] | None, scratch: Scratch, *, follow: bool = True, budget: int = BUDGET, name: str = "inventory", groups: DataFrame | None = None) -> Inventory:
+    """List the named groups below `root`, or all; a destination is listed with `follow=False`.
+
+    With `groups` (skill), whose folders are known to be there, the root itself isn't listed.
+    """
+    frontier = groups.select("skill", F.lit("").alias("rel_path")) if groups is not None else spark.createDataFrame([(None, "")], "skill string, rel_path string")
+    rounds, parts = [], -(-frontier.count() // FOLDERS_A_TASK) if groups is not None else 1
+    while parts or not rounds:
+        dealt = frontier.repartition(parts) if parts > 1 else frontier.coalesce(1)
         rows = scratch.stage(dealt.mapInArrow(_round(str(root), names, follow, budget), ROWS), f"{name}-{len(rounds)}")
         rounds.append(rows.withColumn("round", F.lit(len(rounds))))
         frontier = rows.where("kind = 'open'").select("skill", "rel_path")
@@ -85,7 +94,4 @@ def take_inventory(spark: SparkSession, root: str, names: list[str] | None, scra
     every = rounds[0]
     for rows in rounds[1:]:
         every = every.unionByName(rows)
-    groups = rounds[0].where("kind = 'group' OR (kind = 'link' AND rel_path = '')").select("skill")
-    entries = every.where("kind NOT IN ('open', 'listed', 'group') AND rel_path <> ''").drop("task", "round")
-    return Inventory(every, Snapshot(entries, groups, TREE))
-
+    return inventory_of(every)

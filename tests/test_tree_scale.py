@@ -220,3 +220,38 @@ def test_writing_rows_with_content(spark, tmp_path):
     df = spark.createDataFrame(rows, "skill string, rel_path string, is_dir boolean, content binary")
     df.write.format("tessera_tree").options(path=str(tmp_path / "t"), run=".tessera-x").mode("append").save()
     assert Path(tmp_path / "t/g/a/f").read_bytes() == b"hello" and (tmp_path / "t/g/d").is_dir() and (tmp_path / "t/.tessera-x/manifest.json").exists()
+
+
+def test_a_run_that_broke_off_goes_on(spark, roots, tmp_path, monkeypatch):
+    src, dst, _ = roots
+    put(src, **{f"g{i}/f{j}": f"{i}{j}" for i in range(12) for j in range(4)} | {"empty": None})
+    put(dst, **{f"g{i}/old/f": "stale" for i in range(12)})
+    journal, calls = str(tmp_path / "journal"), []
+
+    def copy(entries, *args, run=sink.copy_entries):
+        calls.append({r.skill for r in entries.select("skill").distinct().collect()})
+        if len(calls) == 3:
+            raise OSError("killed")
+        return run(entries, *args)
+
+    monkeypatch.setattr(sink, "copy_entries", copy)
+    go = lambda: mirror_tree(spark, str(src), str(dst), journal=journal, batch_entries=20)
+    with pytest.raises(OSError, match="killed"):
+        go()
+    finished = calls[0] | calls[1]
+    assert finished and all(tree(dst / g) == tree(src / g) for g in finished)
+    late = min(set(calls[2]) or {"g0"})
+    assert (dst / late / "old/f").exists() or late not in {f"g{i}" for i in range(12)}
+    put(src, **{"late/f": "comes after the listing"})
+    with pytest.raises(MirrorError, match="another request"):
+        mirror_tree(spark, str(src), str(dst), ["a"], journal=journal)
+    listings = []
+    monkeypatch.setattr(sink, "take_inventory", lambda *a, take=sink.take_inventory, **kw: listings.append(kw["name"]) or take(*a, **kw))
+    status = {r.skill: (r.n_copied, r.n_pruned) for r in go().collect()}
+    assert not finished & set().union(*calls[3:]) and set().union(*calls) == {*(f"g{i}" for i in range(12)), "a", "b"}
+    assert "source" not in listings and "target" not in listings
+    assert status == {**{f"g{i}": (4, 2) for i in range(12)}, "a": (4, 0), "b": (1, 0), "empty": (0, 0)}
+    assert not os.path.exists(journal)
+    want = tree(src)
+    del want["late"], want["late/f"]
+    assert tree(dst) == want
