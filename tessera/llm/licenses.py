@@ -3,8 +3,8 @@
 Words are runs of letters and digits, A-Z lower-cased; every byte beyond ASCII counts as a
 letter. A template is a license's text, or a notice: a lead-in and the license's name.
 
-1. Seeds: places of a text where three words of a template stand together, found by hash for
-   all templates at once. A seed at word p of the template and word i of the text puts the
+1. Seeds: places of a text where three words of a template stand together, or all words of a
+   shorter one, found by hash for all templates at once. A seed at word p of the template and word i of the text puts the
    template's start at i - p; seeds whose starts are near each other make a candidate window,
    and starts further apart than `SLACK` of the template make another, so a license that is
    there twice is found twice.
@@ -24,8 +24,8 @@ Defined results: a null or empty text has no findings. Rows are independent, so
 ties and null doc_ids need no further rule. Spans are code points, the end exclusive. An empty
 table gives an empty result; further columns are ignored.
 
-Not found: notices with a word changed, one-word names (GPLv3), and the full texts of LGPL,
-MPL, AGPL and Creative Commons, which have no template.
+Not found: notices with a word changed, and the full texts of Apache, GPL, LGPL, MPL, AGPL and
+Creative Commons, which have no template.
 """
 
 from __future__ import annotations
@@ -95,8 +95,8 @@ TEXTS = {
     "MIT": MIT,
 }
 NAMES = {
-    "AGPL-3.0": ["GNU Affero General Public License, version 3"],
-    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License", "Apache-2.0"],
+    "AGPL-3.0": ["GNU Affero General Public License, version 3", "AGPLv3"],
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License", "Apache-2.0", "Apache License v2.0"],
     "BSD-2-Clause": ["BSD 2-Clause License"],
     "BSD-3-Clause": ["BSD 3-Clause License"],
     "CC-BY-4.0": ["CC BY 4.0", "Creative Commons Attribution 4.0"],
@@ -107,14 +107,26 @@ NAMES = {
     "CC-BY-SA-4.0": ["CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0"],
     "CC0-1.0": ["CC0 1.0"],
     "EPL-2.0": ["Eclipse Public License 2.0"],
-    "GPL-2.0": ["GNU General Public License, version 2", "GPL-2.0", "GPL v2"],
-    "GPL-3.0": ["GNU General Public License, version 3", "GPL-3.0", "GPL v3"],
-    "LGPL-2.1": ["GNU Lesser General Public License, version 2.1", "LGPL-2.1"],
-    "LGPL-3.0": ["GNU Lesser General Public License, version 3", "LGPL-3.0"],
-    "MIT": ["MIT License"],
+    "GPL-2.0": ["GNU General Public License, version 2", "GPL-2.0", "GPL v2", "GPLv2"],
+    "GPL-3.0": ["GNU General Public License, version 3", "GPL-3.0", "GPL v3", "GPLv3"],
+    "LGPL-2.1": ["GNU Lesser General Public License, version 2.1", "LGPL-2.1", "LGPLv2.1"],
+    "LGPL-3.0": ["GNU Lesser General Public License, version 3", "LGPL-3.0", "LGPLv3"],
+    "MIT": ["MIT License", "MIT Licence"],
     "MPL-2.0": ["Mozilla Public License, Version 2.0", "MPL-2.0"],
     "Unlicense": ["Unlicense"],
 }
+#: What names a license without a lead-in.
+ALONE = {
+    "AGPL-3.0": ["AGPLv3"],
+    "Apache-2.0": ["Apache License v2.0"],
+    "BSD-2-Clause": ["BSD-2-Clause license"],
+    "BSD-3-Clause": ["BSD-3-Clause license"],
+    "GPL-2.0": ["GPLv2"],
+    "GPL-3.0": ["GPLv3"],
+    "LGPL-2.1": ["LGPLv2.1"],
+    "LGPL-3.0": ["LGPLv3"],
+    "MIT": ["MIT licensed"],
+}
 RIGHTS = {"All-rights-reserved": "All rights reserved"}
 LEADS = ("licensed under", "released under", "distributed under", "available under", "under the terms of")
 
@@ -131,46 +143,54 @@ class Template:
         self.license, self.words = license_id, raw.tobytes().split()
         self.least = len(self.words) if notice else -(-COVERAGE * len(self.words) // 100)
         self.slack = 0 if notice else len(self.words) // SLACK
-        self.seeds = seed_hashes(raw, np.array([0, len(raw)]))[0]
+        self.seed_words = min(SEED_WORDS, len(self.words))
+        self.seeds = seed_hashes(raw, np.array([0, len(raw)]), self.seed_words)[0]
 
 
-def seed_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Hash, text and word number of every three words together; starts, ends and first word of the texts' words."""
+def seed_hashes(data: np.ndarray, offsets: np.ndarray, size: int = SEED_WORDS) -> tuple[np.ndarray, ...]:
+    """Hash, text and word number of every `size` words together; starts, ends and first word of the texts' words."""
     starts, ends, first = A.words_in(data, offsets)
-    n = np.maximum(np.diff(first) - SEED_WORDS + 1, 0)
+    n = np.maximum(np.diff(first) - size + 1, 0)
     text = A.owners(n)
     at = np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)
     head = first[:-1][text] + at
     words = A.range_hashes(A.BYTE[data], starts, ends)
-    return A.range_hashes(words, head, head + SEED_WORDS), text, at, starts, ends, first
+    return A.range_hashes(words, head, head + size), text, at, starts, ends, first
 
 
 class Templates:
-    """All templates with one sorted table of their seeds."""
+    """All templates with a sorted table of their seeds for each size of seeds; names of one or two words are seeds of that size."""
 
-    def __init__(self, texts: dict[str, str], names: dict[str, list[str]], alone: dict[str, str]):
+    def __init__(self, texts: dict[str, str], names: dict[str, list[str]], rights: dict[str, str], alone: dict[str, list[str]]):
         leads = [f"{lead}{article}" for lead in LEADS for article in (" ", " the ")]
         self.all = [Template(k, t, False) for k, t in texts.items()]
         self.all += [Template(k, lead + name, True) for k, some in names.items() for name in some for lead in leads]
         self.all += [Template(k, f"SPDX-License-Identifier: {k}", True) for k in sorted({*texts, *names})]
-        self.all += [Template(k, t, True) for k, t in alone.items()]
-        hashes = np.concatenate([t.seeds for t in self.all])
-        owner = np.concatenate([np.full(len(t.seeds), i) for i, t in enumerate(self.all)])
-        at = np.concatenate([np.arange(len(t.seeds)) for t in self.all])
+        self.all += [Template(k, t, True) for k, t in rights.items()]
+        self.all += [Template(k, t, True) for k, some in alone.items() for t in some]
+        self.tables = {size: self.table(size) for size in sorted({t.seed_words for t in self.all})}
+
+    def table(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes, ascending, and each one's template and word number there."""
+        some = [(i, t) for i, t in enumerate(self.all) if t.seed_words == size]
+        hashes = np.concatenate([t.seeds for _, t in some])
+        owner = np.concatenate([np.full(len(t.seeds), i) for i, t in some])
+        at = np.concatenate([np.arange(len(t.seeds)) for _, t in some])
         order = np.argsort(hashes, kind="stable")
-        self.hashes, self.owner, self.at = hashes[order], owner[order], at[order]
+        return hashes[order], owner[order], at[order]
 
-    def windows(self, hashes: np.ndarray, text: np.ndarray, place: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    def windows(self, size: int, hashes: np.ndarray, text: np.ndarray, place: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
         """(text, template, first and last start of the template in words of the text) of candidate windows."""
-        low = np.searchsorted(self.hashes, hashes, side="left")
-        n = np.searchsorted(self.hashes, hashes, side="right") - low
+        known, owner, at = self.tables[size]
+        low = np.searchsorted(known, hashes, side="left")
+        n = np.searchsorted(known, hashes, side="right") - low
         hit = np.flatnonzero(n)
         if not len(hit):
             return
         n = n[hit]
         entry = np.repeat(low[hit], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        of, template = np.repeat(text[hit], n), self.owner[entry]
-        start = np.repeat(place[hit], n) - self.at[entry]
+        of, template = np.repeat(text[hit], n), owner[entry]
+        start = np.repeat(place[hit], n) - at[entry]
         order = np.lexsort((start, template, of))
         of, template, start = of[order], template[order], start[order]
         slack = np.array([t.slack for t in self.all])[template]
@@ -241,9 +261,10 @@ def apart(found: list[tuple]) -> list[tuple]:
 def findings(templates: Templates, data: np.ndarray, offsets: np.ndarray) -> dict[int, list[tuple]]:
     """By text: (license, start, end, matched, length), positions in code points."""
     plain = WORD_BYTE[data]
-    hashes, text, place, starts, ends, first = seed_hashes(plain, offsets)
     out: dict[int, list[tuple]] = {}
-    for i, k, low, high in templates.windows(hashes, text, place):
+    seeds = {size: seed_hashes(plain, offsets, size) for size in templates.tables}
+    *_, starts, ends, first = seeds[SEED_WORDS]
+    for i, k, low, high in (w for size, found in seeds.items() for w in templates.windows(size, *found[:3])):
         t, base = templates.all[k], int(first[i])
         a = max(0, low - t.slack)
         b = min(int(first[i + 1]) - base, high + len(t.words) + t.slack)
@@ -260,7 +281,7 @@ def findings(templates: Templates, data: np.ndarray, offsets: np.ndarray) -> dic
 
 @lru_cache(maxsize=1)
 def all_templates() -> Templates:
-    return Templates(TEXTS, NAMES, RIGHTS)
+    return Templates(TEXTS, NAMES, RIGHTS, ALONE)
 
 
 FINDING = pa.struct([("license", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("matched", pa.int64()), ("length", pa.int64())])

@@ -132,3 +132,19 @@ def test_other_wordings(spark):
     }
     got = run(spark, list(enumerate(said)))
     assert {t: [f[0] for f in got[i]] for i, t in enumerate(said)} == said
+
+
+def test_names_that_stand_alone(spark):
+    """Short names without a lead-in, and in prose."""
+    said = {
+        "released under the MIT licence": ["MIT"],
+        "Apache License v2.0": ["Apache-2.0"],
+        "This is GPLv3.": ["GPL-3.0"],
+        "MIT licensed": ["MIT"],
+        "the BSD-3-Clause license applies": ["BSD-3-Clause"],
+        "GPLv3, AGPLv3 and GPLv2": ["GPL-3.0", "AGPL-3.0", "GPL-2.0"],
+        "GPLv33 xGPLv3 MIT-licensee licensed MIT": [],
+        "licensed under the GPLv3": ["GPL-3.0"],
+    }
+    got = run(spark, list(enumerate(said)))
+    assert {t: [f[0] for f in got[i]] for i, t in enumerate(said)} == said
