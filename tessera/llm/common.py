@@ -68,15 +68,15 @@ def _delete_all() -> None:
             _delete(path)
 
 
-def buckets(docs: DataFrame, bytes_each: int = 24 << 20) -> int:
-    """Parts of a key space: some for each shuffle partition, and more where the input has many bytes.
+def buckets(docs: DataFrame, bytes_each: int = 24 << 20, each: int = 2) -> int:
+    """Parts of a key space: `each` for a shuffle partition, and more where the input has many bytes.
 
     A bucket is what a task holds in memory, so its size is bounded by the input's size as the
     scan states it, whatever number of shuffle partitions is set.
     """
     spark = docs.sparkSession
     size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    at_least = 2 * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    at_least = each * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     return max(at_least, size // bytes_each if size < UNKNOWN else 0)
 
 

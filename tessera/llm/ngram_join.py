@@ -434,12 +434,8 @@ def meetings(e: dict[str, np.ndarray], percent: int) -> Iterator[dict[str, np.nd
         yield {"q": ids[q][order], "other": ids[y][order], "root": e["roots"][y][order], "need": need[order], "list": rank[q][order]}
 
 
-def candidates(classes: DataFrame, tried: DataFrame | None, n_buckets: int, percent: int, best: int, most: int) -> DataFrame:
-    """Pairs (a, b), b in another component and in enough short lists of a, that haven't been tried.
-
-    Of a class's candidates the `most` by count come out, `best` of each component at most; the
-    rest waits for a later call.
-    """
+def requests(classes: DataFrame, n_buckets: int, percent: int) -> DataFrame:
+    """By class: its possible partners in another component in each of its short lists, as REQUESTS."""
 
     def short_lists(table: pa.Table) -> pa.Table:
         out = []
@@ -450,6 +446,17 @@ def candidates(classes: DataFrame, tried: DataFrame | None, n_buckets: int, perc
                 out.append((int(A.key_bucket(p["q"][x : x + 1], n_buckets)[0]), 0, q, others.tobytes(), A.pack_keys(p["root"][x:y]), A.pack(p["need"][x:y])))
         return table_of(out, REQUESTS)
 
+    entries = _by_hash(classes.select("class", "n", "root", "lead", "votes", "aside", "hashes", "flags"), n_buckets)
+    return entries.groupBy("bucket").applyInArrow(short_lists, ddl(REQUESTS))
+
+
+def candidates(asked: DataFrame, tried: DataFrame, n_buckets: int, best: int, most: int) -> DataFrame:
+    """Pairs (a, b), b in another component and in enough short lists of a, that haven't been tried.
+
+    Of a class's candidates the `most` by count come out, `best` of each component at most; the
+    rest waits for a later call.
+    """
+
     def search(table: pa.Table) -> pa.Table:
         lists: dict[int, list] = {}
         root, need, done = {}, {}, {}
@@ -486,11 +493,7 @@ def candidates(classes: DataFrame, tried: DataFrame | None, n_buckets: int, perc
             rows = [(int(A.key_bucket(a[x : x + 1], n_buckets)[0]), 1, q, b[x:y].tobytes(), None, None) for q, x, y in A.slices(a)]
             yield from table_of(rows, REQUESTS).to_batches()
 
-    entries = _by_hash(classes.select("class", "n", "root", "lead", "votes", "aside", "hashes", "flags"), n_buckets)
-    requests = entries.groupBy("bucket").applyInArrow(short_lists, ddl(REQUESTS))
-    if tried is not None:
-        requests = requests.unionByName(tried.select("a", "b").mapInArrow(as_requests, ddl(REQUESTS)))
-    return requests.groupBy("bucket").applyInArrow(search, "a bigint, b bigint")
+    return asked.unionByName(tried.select("a", "b").mapInArrow(as_requests, ddl(REQUESTS))).groupBy("bucket").applyInArrow(search, "a bigint, b bigint")
 
 
 def vote_links(classes: DataFrame) -> DataFrame:
@@ -529,22 +532,25 @@ def similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, seed: i
     connect; inside a group that is connected already, not every pair is listed. A class's
     component is where the tables of roots lead, one after the other.
     """
-    n = buckets(docs)
+    # A posting carries its share of its document's name, the larger the more buckets deal a document's postings.
+    n = buckets(docs, each=1)
     found = stage(sets(shared(postings(docs, words, n, seed), n), percent), "shingle-sets")
     classes = found.where("kind = 0").select("class", "n", "weight", F.col("class").alias("root"), "hashes")
-    links, roots, best, most, open_classes, tried, changed = [], [], BEST, MOST, None, None, True
+    links, roots, best, most, open_classes, asked, tried, changed = [], [], BEST, MOST, None, None, None, True
     while True:
         if changed:
             n = parts_of(classes)
             before, open_classes = open_classes, stage(crossing(classes, n, percent), "open-classes")
-            discard(before)
+            discard(before, asked)
+            asked = None
             if open_classes.isEmpty():
                 break
             # Common hashes of classes in different components are in crossing lists, so these sets do from here on.
             classes = open_classes.select("class", "n", "weight", "root", "hashes")
         pairs = leader_pairs(open_classes, tried) if changed else None
         if tried is not None:  # the first round has votes alone
-            more = candidates(open_classes, tried, n, percent, best, most)
+            asked = asked or stage(requests(open_classes, n, percent), "requests")
+            more = candidates(asked, tried, n, best, most)
             pairs, best, most = more if pairs is None else more.unionByName(pairs).distinct(), best * MORE, most * MORE
         pairs = stage(pairs, "pairs")
         new = verified(pairs, classes, percent).select("a", "b")
@@ -558,7 +564,7 @@ def similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, seed: i
         changed = linked * RENEW >= open_classes.count()
         if not linked and searched and pairs.isEmpty():
             break
-    discard(open_classes)
+    discard(open_classes, asked)
     return classes_of(found), links, roots
 
 
