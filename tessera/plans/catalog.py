@@ -8,7 +8,6 @@ in the source but is empty (src13), and rows to insert, overwrite and delete.
 from __future__ import annotations
 
 import re
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +19,7 @@ from tessera.plans.planner import plan_mirror, request
 from tessera.sinks.table import mirror_table, read_table, table_snapshot
 from tessera.sinks.tree import mirror_tree, write_tree
 from tessera.sources.tree import read_tree
-from tessera.staging import shared_folder
+from tessera.staging import Scratch
 
 LAYOUT = M.Layout(group="source", keys=("doc_id",))
 TABLE = "doc_id bigint, payload bigint, source string"
@@ -65,14 +64,10 @@ def _unlabelled(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{d}/documents.parquet").select("doc_id").join(labels, "doc_id", "left_anti")
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def _table(spark: SparkSession, d: str) -> str:
     """The destination as a table, mirrored with all checks on; its path."""
     src, dst = snapshots(spark, d)
-    path = _scratch(spark, "table")
+    path = Scratch(spark, "mirror-query").folder("table")
     dst.entries.write.partitionBy("source").parquet(path)
     mirror_table(src, path, TABLE)
     return path
@@ -93,7 +88,7 @@ def _files(docs: DataFrame, text: Column) -> DataFrame:
 def _tree(spark: SparkSession, d: str) -> DataFrame:
     """Both snapshots as trees of files that hold the whole texts, mirrored; what the destination's tree has then."""
     docs, part = spark.read.parquet(f"{d}/documents.parquet"), F.expr("(doc_id div 20) % 10")
-    root = re.sub("^file:/*", "/", _scratch(spark, "trees"))
+    root = re.sub("^file:/*", "/", Scratch(spark, "mirror-query").folder("trees"))
     text = F.coalesce("text", F.lit(""))
     write_tree(_files(docs.where(~F.col("source").isin("src7", "src13") & (part != 3)), text), f"{root}/src", ["src13"])
     write_tree(_files(docs.where((F.col("source") != "src5") & (part != 4)), F.when(part == 6, F.concat(text, F.lit("!"))).otherwise(text)), f"{root}/dst")

@@ -39,9 +39,13 @@ class Scratch:
         self.spark, self.path, self.n = spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}", 0
         atexit.register(self.drop)
 
-    def stage(self, df: DataFrame, name: str) -> DataFrame:
+    def folder(self, name: str) -> str:
+        """A folder of this run, for a table or a tree of its own."""
         self.n += 1
-        path = f"{self.path}/{self.n:02d}-{name}"
+        return f"{self.path}/{self.n:02d}-{name}"
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        path = self.folder(name)
         df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
