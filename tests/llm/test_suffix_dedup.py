@@ -111,3 +111,12 @@ def test_loser_tree(runs):
     assert all(n == X.common(a[2], b[2], 0) for a, b in zip(got, got[1:], strict=False) for n in [b[1]])
     for i, r in enumerate(runs):
         assert [t for w, _, t in got if w == i] == r
+
+
+def test_a_missing_id_is_no_other_rows_id(spark):
+    """A doc_id that is the hash of a text without one: neither row loses what the other does."""
+    twice, whole = "0123456789abcdefghij" * 2 + "x", "".join(chr(200 + i) for i in range(60))
+    taken = spark.createDataFrame([(twice,)], "t string").selectExpr("xxhash64(0, t)", "xxhash64(t)").first()
+    df = spark.createDataFrame([(i, t, "x", 1, "y") for i, t in [(None, twice), (taken[0], whole), (taken[1], whole[::-1])]], SCHEMA)
+    got = {r.doc_id: r.n_removed for r in X.without_repeats(df, 20, 6).collect()}
+    assert got == {None: 20, taken[0]: 0, taken[1]: 0}
