@@ -61,7 +61,7 @@ def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
 
 
 #: Words over `PLACES` bytes aren't remembered, others up to about `REMEMBERED` bytes in a worker.
-PLACES, REMEMBERED = 64, 48 << 20
+PLACES, REMEMBERED = 64, 16 << 20
 
 
 class _Words:
