@@ -10,8 +10,8 @@ they are, and after an edit the table is recomputed from the edit until it agree
 one over as many bytes as the longest token has.
 
 Text is split by the tokenizer's pattern first. Most pieces are words that come again and
-again, so a task encodes each distinct piece once, many at a time in numpy, and remembers up
-to `REMEMBERED` of them. Long pieces go through the same recurrence one by one. The
+again, so a task encodes each distinct piece once, many at a time in numpy, and remembers those
+met lately in up to `REMEMBERED` bytes, long ones never. Long pieces go through the same recurrence one by one. The
 vocabulary (a file of bounded size, checked) is read on the driver and broadcast.
 
 Defined results: a null text counts as empty and has no ids. Special tokens aren't
@@ -33,9 +33,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import documents
-from tessera.llm.tables import WHITE, IntMap
+from tessera.llm.tables import WHITE, IntMap, Lately
 
-MAX_FILE, REMEMBERED, LONG, AT_ONCE = 64 << 20, 400_000, 48, 1 << 19
+MAX_FILE, REMEMBERED, PAIRS, LONG, AT_ONCE = 64 << 20, 32 << 20, 100_000, 48, 1 << 19
 NEVER = np.int64(1) << 40
 
 
@@ -107,7 +107,7 @@ class Vocabulary:
                 over_y, y = y, int(self.left[y])
             else:
                 break
-        if len(self.pairs) > REMEMBERED:
+        if len(self.pairs) > PAIRS:
             self.pairs.clear()
         self.pairs[u, t] = ok
         return ok
@@ -238,29 +238,31 @@ class Encoder:
     """Encodes texts and remembers pieces; lives in a Python worker."""
 
     def __init__(self, vocabulary: Vocabulary, pattern: str):
-        self.v, self.split, self.known = vocabulary, splitter(pattern), {}
+        self.v, self.split, self.known = vocabulary, splitter(pattern), Lately(REMEMBERED, LONG)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        lists = [self.split.findall(t) for t in texts]
-        new = set().union(*lists).difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {}
-            new = set().union(*lists)
+    def pieces(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece."""
+        found: dict[str, bytes] = {}
         short: list[str] = []
-        for p in new:
+        for p in pieces:
             raw = p.encode()
             whole = self.v.rank.get(raw)
             if whole is not None:
-                self.known[p] = whole.to_bytes(4, "little")
+                found[p] = whole.to_bytes(4, "little")
             elif len(raw) > LONG:
-                self.known[p] = np.array(PrefixTable(self.v, raw).ids(), "<u4").tobytes()
+                found[p] = np.array(PrefixTable(self.v, raw).ids(), "<u4").tobytes()
             else:
                 short.append(p)
         short.sort(key=len)
         for i in range(0, len(short), 20_000):
             part = short[i : i + 20_000]
-            self.known.update(zip(part, encode_many(self.v, [p.encode() for p in part]), strict=True))
-        return [b"".join(map(self.known.__getitem__, pieces)) for pieces in lists]
+            found.update(zip(part, encode_many(self.v, [p.encode() for p in part]), strict=True))
+        return [found[p] for p in pieces]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        lists = [self.split.findall(t) for t in texts]
+        found = self.known.get(set().union(*lists), self.pieces)
+        return [b"".join(map(found.__getitem__, pieces)) for pieces in lists]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.v.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))

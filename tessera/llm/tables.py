@@ -1,7 +1,10 @@
-"""Lookup tables in numpy, for use inside tasks."""
+"""Lookup tables for use inside tasks."""
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable
+
 import numpy as np
 
 #: Unicode's White_Space, spelled out because Python's \\s also has U+001C to U+001F.
@@ -45,3 +48,33 @@ class IntMap:
             out[left[hit]] = self.values[at[left[hit]]]
             left = left[~hit & (found >= 0)]
         return out
+
+
+class Lately:
+    """Values of the strings met lately, in about `at_most` bytes.
+
+    There are two generations: when the newer one has half of the bytes it becomes the older one, and what was
+    older and hasn't been asked for again is forgotten. Strings over `longest` characters are never kept, so a
+    table of few but huge strings can't grow either.
+    """
+
+    def __init__(self, at_most: int, longest: int):
+        self.half, self.longest = at_most // 2, longest
+        self.newer, self.older, self.size = {}, {}, 0
+
+    def get(self, keys: set[str], make: Callable[[list[str]], list]) -> dict[str, object]:
+        """The value of each of `keys`; `make` gives those of a list of strings that aren't known."""
+        unknown = keys.difference(self.newer)
+        out = {k: self.newer[k] for k in keys - unknown}
+        fresh = {k: self.older[k] for k in unknown if k in self.older}
+        new = list(unknown.difference(fresh))
+        fresh.update(zip(new, make(new), strict=True))
+        out.update(fresh)
+        kept = {k: v for k, v in fresh.items() if len(k) <= self.longest}
+        size = sum(100 + sys.getsizeof(k) + sys.getsizeof(v) for k, v in kept.items())
+        if self.size + size > self.half:
+            self.older, self.newer, self.size = self.newer, {}, 0
+        if size <= self.half:
+            self.newer.update(kept)
+            self.size += size
+        return out

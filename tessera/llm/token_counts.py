@@ -5,7 +5,7 @@ vocabulary string that stands for a whole pre-token (it has the end-of-word mark
 once; those that come out as one token are the shortcut: a pre-token found among them counts
 1. Only the rest are merged, all pre-tokens of one length together in numpy: in each round
 the pair of lowest rank (the leftmost of equals) is joined in every row, until no row has a
-pair left. A task remembers the counts of up to `REMEMBERED` pre-tokens.
+pair left. A task remembers the counts of pre-tokens met lately, in up to `REMEMBERED` bytes, long ones never.
 
 The tokenizer's steps, as its file states them and checked on reading: special strings are
 found in the raw text first and count 1 each; what is between them is put into NFC, lower-cased
@@ -33,9 +33,9 @@ from pyspark.sql import functions as F
 
 from tessera.llm.bpe import groups_of
 from tessera.llm.common import documents, text_of
-from tessera.llm.tables import WHITE, IntMap
+from tessera.llm.tables import WHITE, IntMap, Lately
 
-MAX_FILE, REMEMBERED, LONG, LIMIT = 64 << 20, 400_000, 48, 2048
+MAX_FILE, REMEMBERED, LONG, LIMIT = 64 << 20, 32 << 20, 48, 2048
 
 
 #: Lower case by Unicode 16 where Python's tables end at 15; and a capital sigma, which has no context here.
@@ -151,7 +151,7 @@ class Counter:
     def ready(self) -> None:
         self.split = regex.compile(self.pattern)
         self.marks = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        self.known = dict.fromkeys(self.shortcut, 1)
+        self.known = Lately(REMEMBERED, LONG)
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k not in ("split", "marks", "known")}
@@ -171,13 +171,11 @@ class Counter:
 
     def count(self, texts: list[str]) -> list[int]:
         lists = [self.pretokens(t) for t in texts]
-        new = set().union(*(x for x, _ in lists)).difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = dict.fromkeys(self.shortcut, 1)
-            new = set().union(*(x for x, _ in lists)).difference(self.known)
-        rest = list(new)
-        self.known.update(zip(rest, self.merges.count_many([w.encode() for w in rest]).tolist(), strict=True))
-        return [sum(map(self.known.__getitem__, x)) + n for x, n in lists]
+        met = set().union(*(x for x, _ in lists))
+        rest = met.difference(self.shortcut)
+        found = self.known.get(rest, lambda words: self.merges.count_many([w.encode() for w in words]).tolist())
+        found.update(dict.fromkeys(met - rest, 1))
+        return [sum(map(found.__getitem__, x)) + n for x, n in lists]
 
 
 def valid(raw: bytes) -> bool:
