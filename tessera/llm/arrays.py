@@ -62,6 +62,7 @@ def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
 
 #: Words over `PLACES` bytes aren't remembered, others up to about `REMEMBERED` bytes in a worker.
 PLACES, REMEMBERED = 64, 16 << 20
+WORDS_AT_ONCE = 1 << 15
 
 
 class _Words:
@@ -91,8 +92,12 @@ WORDS = _Words()
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A value for each word data[start:end] that only equal words share: no words are known that collide."""
-    raw = data.tobytes()
-    return WORDS.get([raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
+    out = np.empty(len(starts), np.uint64)
+    for i in range(0, len(starts), WORDS_AT_ONCE):  # a word is some 100 bytes as long as it is an object of Python's
+        a, b = starts[i : i + WORDS_AT_ONCE], ends[i : i + WORDS_AT_ONCE]
+        raw = data[a[0] : b[-1]].tobytes()
+        out[i : i + len(a)] = WORDS.get([raw[x:y] for x, y in zip((a - a[0]).tolist(), (b - a[0]).tolist(), strict=True)])
+    return out
 
 
 #: Moduli and bases of the window hashes: primes below 2**31, so that products fit 64 bits.
@@ -135,6 +140,15 @@ def window_buckets(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, buck
     return bucket_of(mix(_rabin_karp(words, starts, ends, 2) + np.uint64(1)), buckets)
 
 
+def cuts(offsets: np.ndarray, at_most: int) -> Iterator[tuple[int, int]]:
+    """From and to of consecutive texts of about `at_most` bytes together; a longer one comes alone."""
+    at, n = 0, len(offsets) - 1
+    while at < n:
+        stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + at_most, side="right")) - 1)
+        yield at, stop
+        at = stop
+
+
 def text_chunks(batches: Iterator[pa.RecordBatch], at_most: int = CHUNK_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(doc keys, bytes, offsets) of consecutive rows of (key, text), of about `at_most` bytes."""
     for batch in batches:
@@ -147,11 +161,8 @@ def text_chunks(batches: Iterator[pa.RecordBatch], at_most: int = CHUNK_BYTES) -
             continue
         offsets = np.frombuffer(offsets, np.int64 if wide else np.int32)[text.offset : text.offset + n + 1].astype(np.int64)
         data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-        at = 0
-        while at < n:
-            stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + at_most, side="right")) - 1)
+        for at, stop in cuts(offsets, at_most):
             yield keys[at:stop], data[offsets[at] : offsets[stop]], offsets[at : stop + 1] - offsets[at]
-            at = stop
 
 
 def words_in(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -65,6 +65,8 @@ POSTINGS = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("hashes", p
 SETS = pa.schema([("kind", pa.int32()), ("class", pa.int64()), ("n", pa.int32()), ("weight", pa.int32()), ("hashes", pa.list_(pa.int64())), ("ids", pa.binary()), ("runs", pa.binary()), ("sizes", pa.binary()), ("docs", pa.binary()), ("sums", pa.binary())])
 #: Pairs looked at together inside a task, and postings of open classes in a bucket.
 AT_ONCE, POSTINGS_EACH = 1 << 21, 1 << 16
+#: Bytes of text whose words and windows are arrays at the same time; some 30 bytes of memory for each.
+SHINGLED = 1 << 19
 
 
 def ddl(schema: pa.Schema) -> str:
@@ -78,7 +80,16 @@ def table_of(rows: list[tuple], schema: pa.Schema) -> pa.Table:
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(text, hash), distinct, in order of both; A-Z lower-cased."""
+    """(text, hash), distinct, in order of both; A-Z lower-cased. Worked out for about `SHINGLED` bytes at a time."""
+    texts, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for a, b in A.cuts(offsets, SHINGLED):
+        text, found = some_shingles(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], words)
+        texts.append(text + a)
+        hashes.append(found)
+    return np.concatenate(texts), np.concatenate(hashes)
+
+
+def some_shingles(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     data = A.TO_LOWER[data]
     starts, ends, first = A.words_in(data, offsets)
     n = np.diff(first)

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from tessera.llm import ngram_join as X
@@ -136,3 +137,17 @@ def test_components(spark):
 
 def test_query_equals_sql(spark, compare):
     assert compare(spark, X.op3_ngram_jaccard_join, X.SQL, "/root/testdata/sf0.01")
+
+
+def test_shingles_are_the_same_in_parts_of_any_size(monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(["a", "B", "cc", "x" * 90], n)) for n in (0, 1, 4, 5, 6, 300, 2, 3000, 0, 7)]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    whole = X.shingles(data, offsets, 5)
+    for size, words in ((1, 1), (50, 7), (1 << 20, 3)):
+        monkeypatch.setattr(X, "SHINGLED", size)
+        monkeypatch.setattr(X.A, "WORDS_AT_ONCE", words)
+        assert all((a == b).all() for a, b in zip(X.shingles(data, offsets, 5), whole, strict=True))
+    assert sorted(set(whole[0].tolist())) == [i for i, t in enumerate(texts) if t]
+    assert len(X.shingles(data[:0], np.zeros(1, np.int64), 5)[0]) == 0
