@@ -7,7 +7,9 @@ it, and deleting what is gone already is no error. Nothing is written, deleted o
 link, also not one that appears meanwhile: every place below the root is reached by handles.
 
 Deletion goes by depth, deepest first, since a folder must be empty before it goes. Each depth is a
-stage of its own whose rows are dealt evenly, so one deep tree spreads over all tasks.
+stage of its own, so one deep tree spreads over all tasks. Copies and deletions are dealt by ranges of
+paths of even size, as many as `tasks_for` says whatever the bytes of the rows: a task works through
+neighbours, whose folders it keeps open, and in folders where few other tasks do.
 """
 
 from __future__ import annotations
@@ -35,10 +37,12 @@ from tessera.sinks.writer import MANIFEST, PARTS, RECEIPTS
 from tessera.sources.inventory import Inventory, take_inventory
 from tessera.sources.tree import TREE, register, require_sound
 from tessera.sources.walk import WORK
-from tessera.staging import Scratch
+from tessera.staging import Scratch, tasks_for
 
 #: Entries on both sides, about, of the groups that a run with a journal works through at once.
 BATCH = 1_000_000
+#: Entries for a task to copy or delete, at least and at most.
+FEW, MANY = 16, 8192
 REMOVED = "skill string, n_pruned bigint, left string"
 
 
@@ -66,13 +70,19 @@ def _delete(dst: str):
     return run
 
 
+def dealt(rows: DataFrame, n: int) -> DataFrame:
+    """`n` rows (skill, rel_path) dealt by ranges of paths, each in order."""
+    parts = tasks_for(rows.sparkSession, n, FEW, MANY)
+    return rows.repartitionByRange(parts, "skill", "rel_path").sortWithinPartitions("skill", "rel_path")
+
+
 def delete_by_depth(doomed: DataFrame, dst: str, scratch: Scratch) -> DataFrame:
     """Delete `doomed` (skill, rel_path), one stage for each depth; skill, n_pruned, left as staged rows of the tasks."""
     doomed = scratch.stage(doomed.select("skill", "rel_path", depth(F.col("rel_path")).alias("depth")), "doomed")
     done = doomed.limit(0).select("skill", F.lit(0).cast("bigint").alias("n_pruned"), F.lit("").alias("left"))
-    for level in range(doomed.agg(F.max("depth")).first()[0] or 0, 0, -1):
+    for level, n in sorted(doomed.groupBy("depth").count().collect(), reverse=True):  # a row for each depth
         wave = doomed.where(F.col("depth") == level).select("skill", "rel_path")
-        done = done.unionByName(scratch.stage(wave.repartition("skill", "rel_path").mapInArrow(_delete(dst), REMOVED), f"removed-{level}"))
+        done = done.unionByName(scratch.stage(dealt(wave, n).mapInArrow(_delete(dst), REMOVED), f"removed-{level}"))
     return done
 
 
@@ -113,7 +123,7 @@ def _like_source(src: str, dst: str):
 def copy_entries(entries: DataFrame, src: str, dst: str, run: str) -> DataFrame:
     """Write `entries` of the tree `src` into `dst`; skill, n_copied."""
     rows = entries.select("skill", "rel_path", "is_dir")
-    return committed(rows.repartition("skill", F.xxhash64("rel_path") % 64), dst, run, src)
+    return committed(dealt(rows, rows.count()), dst, run, src)
 
 
 def committed(rows: DataFrame, dst: str, run: str, source: str | None = None) -> DataFrame:

@@ -1,7 +1,10 @@
 """Writing entries into a tree with a commit: `df.write.format("tessera_tree")`.
 
-A task writes each file into a folder of parts inside the target's root and renames it into place,
-so a file is there whole or not at all, and a link in its place is replaced. Its commit message says
+A task writes each file into its own folder of parts inside the target's root (a folder that all tasks
+shared would make them wait for each other at every file) and renames it into place, so a file is there
+whole or not at all, and a link in its place is replaced. Of a tree to copy from, a file that the target
+holds already, byte for byte, stays where it is and gets the source's mode and times: it counts as copied,
+but isn't written, for renaming over a file makes some file systems flush it. Its commit message says
 what it wrote, and names a Parquet file of receipts (rows by group) in the run's folder.
 
 `commit` runs when every task has ended well. It writes the manifest, the list of receipts of exactly
@@ -36,7 +39,7 @@ PARTS, RECEIPTS, MANIFEST = "parts", "receipts", "manifest.json"
 
 @dataclass
 class Written(WriterCommitMessage):
-    """What one task wrote."""
+    """What one task wrote: entries count files that were there already, bytes don't."""
 
     receipts: str
     entries: int
@@ -53,7 +56,9 @@ class TreeWriter(DataSourceWriter):
         made: Counter[str] = Counter()
         n_bytes = 0
         with Confined(self.root) as target:
-            parts = os.open(os.path.join(self.root, self.run, PARTS), FOLDER)
+            beside = os.path.join(self.root, self.run, PARTS, str(attempt))
+            os.mkdir(beside)
+            parts = os.open(beside, FOLDER)
             try:
                 for n, r in enumerate(iterator):
                     way = components(r.skill, r.rel_path)
@@ -61,13 +66,15 @@ class TreeWriter(DataSourceWriter):
                     if r.is_dir:
                         target.make_folder(way)
                         continue
-                    part = f"{attempt}-{n}"
+                    part = str(n)
                     content = r.content if "content" in self.columns else None
                     if content is not None:
                         at = r.mtime if "mtime" in self.columns else None
                         n_bytes += write_into(bytes(content), r.mode if "mode" in self.columns else None, at and int(at.timestamp() * 10**6) * 1000, parts, part)
+                    elif target.holds(way, source := os.path.join(self.source, *way)):
+                        continue
                     else:
-                        n_bytes += copy_into(os.path.join(self.source, *way), parts, part)
+                        n_bytes += copy_into(source, parts, part)
                     target.place(way, part, parts)
             finally:
                 os.close(parts)

@@ -1,7 +1,7 @@
 """The listing of a tree that a run works by: made once, by many tasks, and kept in the shared folder.
 
-The folders still to be listed are a relation, the frontier. Each round deals it to tasks by number
-of folders; a task walks down from each of its folders until it has met `BUDGET` entries and hands
+The folders still to be listed are a relation, the frontier. Each round deals it to all cores, and to
+more tasks where there are many folders; a task walks down from each of its folders until it has met `BUDGET` entries and hands
 the folders beyond back as the next frontier. So a small tree takes a round or two, and a group that
 is most of a large tree spreads over all tasks as soon as its upper folders are known. No folder is
 listed twice, and every later step of the run joins the same rows: what comes into the tree in the
@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 from tessera.operators.mirror import Snapshot
 from tessera.sources.tree import TREE
 from tessera.sources.walk import Found, list_root, walk
-from tessera.staging import Scratch
+from tessera.staging import Scratch, tasks_for
 
-#: Entries that a task meets below one folder before it hands folders on, and folders of the frontier for a task.
+#: Entries that a task meets below one folder before it hands folders on, and folders of the frontier for a task at most.
 BUDGET, FOLDERS_A_TASK = 512, 32
 ROWS = "skill string, rel_path string, is_dir boolean, kind string, mode int, mtime timestamp, size bigint, task int"
 TYPES = pa.schema([("skill", pa.string()), ("rel_path", pa.string()), ("is_dir", pa.bool_()), ("kind", pa.string()), ("mode", pa.int32()), ("mtime", pa.timestamp("us", "UTC")), ("size", pa.int64()), ("task", pa.int32())])
@@ -84,13 +84,14 @@ def take_inventory(spark: SparkSession, root: str, names: list[str] | None, scra
     With `groups` (skill), whose folders are known to be there, the root itself isn't listed.
     """
     frontier = groups.select("skill", F.lit("").alias("rel_path")) if groups is not None else spark.createDataFrame([(None, "")], "skill string, rel_path string")
-    rounds, parts = [], -(-frontier.count() // FOLDERS_A_TASK) if groups is not None else 1
-    while parts or not rounds:
+    rounds, left = [], frontier.count() if groups is not None else 1
+    while left or not rounds:
+        parts = tasks_for(spark, left, 1, FOLDERS_A_TASK)
         dealt = frontier.repartition(parts) if parts > 1 else frontier.coalesce(1)
         rows = scratch.stage(dealt.mapInArrow(_round(str(root), names, follow, budget), ROWS), f"{name}-{len(rounds)}")
         rounds.append(rows.withColumn("round", F.lit(len(rounds))))
         frontier = rows.where("kind = 'open'").select("skill", "rel_path")
-        parts = -(-frontier.count() // FOLDERS_A_TASK)
+        left = frontier.count()
     every = rounds[0]
     for rows in rounds[1:]:
         every = every.unionByName(rows)

@@ -32,6 +32,11 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def tasks_for(spark: SparkSession, rows: int, at_least: int, at_most: int) -> int:
+    """Tasks for so many rows: all cores if each then has `at_least` rows, and more where a task would have over `at_most`."""
+    return max(1, min(spark.sparkContext.defaultParallelism, -(-rows // at_least)), -(-rows // at_most))
+
+
 class Scratch:
     """Staged tables of one run."""
 

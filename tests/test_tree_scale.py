@@ -255,3 +255,33 @@ def test_a_run_that_broke_off_goes_on(spark, roots, tmp_path, monkeypatch):
     want = tree(src)
     del want["late"], want["late/f"]
     assert tree(dst) == want
+
+
+def test_few_rows_of_few_bytes_are_copied_by_all_cores(spark, roots):
+    """Rows of paths are so small that Spark by itself made one task of thousands of files."""
+    src, dst, _ = roots
+    put(src, **{f"a/d{i % 3}/f{i}": "x" for i in range(400)})
+    dst, run = sink.begun(str(dst))
+    register(spark)
+    with Scratch(spark, "test") as scratch:
+        entries = take_inventory(spark, src, None, scratch).snapshot.entries
+        copied = sink.copy_entries(entries, str(src), dst, run).groupBy(F.input_file_name()).agg(F.sum("n_copied")).collect()
+    assert len(copied) == 8 and max(r[1] for r in copied) < 120
+    assert sum(r[1] for r in copied) == 400 + 3 + 5
+
+
+def test_a_file_that_is_there_already_is_not_written_again(spark, roots):
+    src, dst, outside = roots
+    put(src, **{"a/same": "same", "a/other": "1234", "a/linked": "same"})
+    put(dst, **{"a/same": "same", "a/other": "5678", "a/linked": "same"})
+    os.link(dst / "a/linked", outside / "second name")
+    os.chmod(src / "a/same", 0o640)
+    os.utime(src / "a/same", ns=(10**18, 10**18 + 7))
+    before = {f: (dst / "a" / f).stat() for f in ("same", "other", "linked")}
+    elsewhere = (outside / "second name").stat()
+    status = {r.skill: (r.n_copied, r.n_pruned) for r in mirror_tree(spark, str(src), str(dst)).collect()}
+    after = {f: (dst / "a" / f).stat() for f in before}
+    assert tree(dst) == tree(src) and status == {"a": (7, 0), "b": (1, 0)}
+    assert after["same"].st_ino == before["same"].st_ino and (after["same"].st_mode & 0o777, after["same"].st_mtime_ns) == (0o640, 10**18 + 7)
+    assert after["other"].st_ino != before["other"].st_ino and after["linked"].st_ino != before["linked"].st_ino
+    assert (outside / "second name").stat().st_mtime_ns == elsewhere.st_mtime_ns
