@@ -15,7 +15,7 @@ are scored. `PRIOR` was chosen with labels left out of the target, at
 `THRESHOLD`: of the good documents left out, under 1% are rejected with 2 to 3,000 labels. With
 few labels fewer of the bad ones are found. `judge` is the plain ratio, with own counts.
 
-Everything is DataFrame functions. The raw counts cover every n-gram of every document, the
+Everything is DataFrame functions, none of which looks each character up in a map, as `translate` does. The raw counts cover every n-gram of every document, the
 buckets are summed within tasks before they move, and the table of counts has `BUCKETS` rows
 whatever the input, which bounds what is broadcast (1 MB or so). Weights are integers
 (millionths of a nat), so that scores don't depend on the order of summation.
@@ -36,7 +36,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import documents, stage, text_of
+from tessera.llm.common import SPACE, documents, stage, text_of
 
 BUCKETS, TARGET_DOCS, THRESHOLD, PRIOR = 1 << 16, 20_000, -0.15, 10
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
@@ -48,7 +48,7 @@ MICRO = 1_000_000
 def with_words(docs: DataFrame, *keep: str | Column) -> DataFrame:
     """Numbered rows with the text and its words, each computed once."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), *keep, text_of(docs).alias("text"))
-    return rows.withColumn("words", F.filter(F.split(F.translate("text", BLANKS, " " * len(BLANKS)), " "), lambda w: w != ""))
+    return rows.withColumn("words", F.array_remove(F.split("text", f"{SPACE}+"), ""))
 
 
 def grams(words: Column, buckets: int) -> Column:
@@ -63,7 +63,7 @@ def grams(words: Column, buckets: int) -> Column:
 def base_counts(rows: DataFrame) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed to rows with words."""
     words, text = F.col("words"), F.col("text")
-    lines = F.filter(F.split(text, "\n"), lambda x: F.translate(x, BLANKS, "") != "")
+    lines = F.filter(F.split(text, "\n"), lambda x: F.ltrim(x, F.lit(BLANKS)) != "")
     starts = F.slice(words, 1, F.greatest(F.size(words) - WINDOW + 1, F.lit(0)))
     window = lambda w, i: F.xxhash64(w, *[F.get(words, i + k) for k in range(1, WINDOW)])
     rows = rows.withColumn("lines", lines).withColumn("windows", F.transform(starts, window))
@@ -79,8 +79,8 @@ def base_counts(rows: DataFrame) -> DataFrame:
     counted = rows.select(
         *[c for c in rows.columns if c not in ("lines", "windows", "in_order")],
         F.size(words).cast("bigint").alias("n_words"),
-        F.length(F.translate(text, BLANKS, "")).cast("bigint").alias("word_chars"),
-        (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
+        F.length(F.array_join(words, "")).cast("bigint").alias("word_chars"),
+        F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("bigint").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("bigint").alias("n_repeat_words"),
     )

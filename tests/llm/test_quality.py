@@ -130,3 +130,25 @@ def test_many_copies_without_labels_stay(spark):
         got = X.verdicts(docs.select("doc_id", "text").unionByName(copies), labels).collect()
         got = [r for r in got if r.doc_id >= 10000000]
         assert len(got) == n and all(r.kept and abs(r.score - score) < 1e-9 for r in got)
+
+
+def test_blanks_and_symbols_of_every_kind(spark):
+    """What splitting and counting by patterns must find in texts as in Python."""
+    blanks = "\t\n\x0b\f\r "
+    rows = [(i, t) for i, t in enumerate([*blanks, blanks, f"{blanks}a{blanks}b{blanks}", "\x85a\xa0b c\x1fd \x1c e", "a\r\nb\r\na\n \t\na", "[^]\\-#*$%&|<>", "# * $ % & | < > ## é# 😀<", "\x00 a\x00b", "&& ]] -- ^^", f"one{blanks}two " * 9])]
+    docs = spark.createDataFrame([(i, t, "x", 1, "y") for i, t in rows], SCHEMA)
+    labels = spark.createDataFrame([(1, 1)], "doc_id bigint, quality int")
+    counts = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    want = []
+    for i, t in rows:
+        w = t.encode().split()
+        lines = [x for x in t.split("\n") if x.encode().split()]
+        win = [tuple(w[k : k + 5]) for k in range(len(w) - 4)]
+        rep = {k + d for k, x in enumerate(win) if win.count(x) > 1 for d in range(5)}
+        want.append((i, len(w), sum(len(x.decode()) for x in w), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(rep), len(w) < 10 or 100 * len(rep) > 20 * len(w)))
+    assert sorted(map(tuple, X.verdicts(docs, labels).select(*counts).collect())) == want
+
+
+def test_no_character_is_looked_up_in_a_map(spark):
+    plan = X.base_counts(X.with_words(spark.createDataFrame([(1, "a b")], "doc_id bigint, text string"), "doc_id"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate(" not in plan and "split(" in plan
